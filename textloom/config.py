@@ -42,7 +42,7 @@ class VocabularyConfig:
 
     vocab_size: int = 32_000
     min_frequency: int = 0
-    ranked_pairs: int = 4_096
+    ranked_pairs: int = 1_024
     rounds_per_table: int = 5
 
 

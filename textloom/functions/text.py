@@ -29,7 +29,7 @@ def marked_words(text: Column) -> Column:
 
 def characters(text: Column) -> Column:
     """The code points of a text."""
-    return F.filter(F.split(text, "", -1), lambda c: c != "")
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "", -1))
 
 
 def with_markers(text: Column) -> Column:

@@ -19,7 +19,9 @@ the round that makes them. Once the ranking is used up, all pairs are counted ag
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.config import SPECIAL_TOKENS, VocabularyConfig
@@ -30,7 +32,14 @@ from textloom.operators.word_stats import (
 from textloom.sources.workspace import remove, scratch_path
 
 _MAX_PAIRS_PER_ROUND = 64
-_SEPARATOR = "\0"           # never a symbol
+_WORDS_PER_FILE = 50_000
+# One task per file, and few shuffle partitions.
+_ROUND_SETTINGS = {
+    "spark.sql.shuffle.partitions": "16",
+    "spark.sql.files.maxPartitionBytes": "4m",
+    "spark.sql.files.openCostInBytes": "4m",
+}
+_STATE_SCHEMA = "s string, cnt bigint"
 
 
 def _rank_key(pair: str, count: int) -> tuple[int, str]:
@@ -129,43 +138,49 @@ def _count_changes(merged: DataFrame, first_new: str, neighbours: list[str],
     time to put a plan together counts.
     """
     new = sql_text(first_new)
-    listed = sql_text("".join(_SEPARATOR + pair for pair in neighbours))
+    wanted = f"left(pair, 1) >= {new} OR right(pair, 1) >= {new}"
+    if neighbours:
+        wanted += f" OR pair IN ({', '.join(map(sql_text, neighbours))})"
     changes = merged.sparkSession.sql(f"""
         SELECT pair, sum(n) AS n
         FROM (SELECT explode({ADJACENT_PAIRS_SQL.format("side.s")}) AS pair, side.n AS n
               FROM (SELECT explode(array(struct(old AS s, -cnt AS n), struct(s, cnt AS n))) AS side
                     FROM {{merged}} WHERE old <> s))
-        WHERE left(pair, 1) >= {new} OR right(pair, 1) >= {new}
-           OR instr({listed}, concat({sql_text(_SEPARATOR)}, pair)) > 0
+        WHERE {wanted}
         GROUP BY pair
         HAVING sum(n) < 0 OR sum(n) >= {lowest_count}""", merged=merged)
     return [(row.pair, row.n) for row in changes.collect()]
 
 
 class _WordState:
-    """Symbol strings with their counts, cached, and written out now and then.
+    """Symbol strings with their counts: a written table, and merges since then.
+
+    Rounds chain cached tables on the last written one; every few rounds the state
+    is written anew, which cuts the chain. Words of a single symbol have no pairs
+    left and go.
 
-    Words of a single symbol have no pairs left and go.
+    Rounds run in a session of their own. What they shuffle is already summed per
+    task and filtered, so they need few shuffle partitions, however big the corpus.
     """
 
-    def __init__(self, spark: SparkSession, rounds_per_table: int, table: DataFrame) -> None:
-        self.spark = spark
+    def __init__(self, states: DataFrame, rounds_per_table: int) -> None:
+        self.spark = states.sparkSession
+        self.round_session = self.spark.newSession()
+        for key, value in _ROUND_SETTINGS.items():
+            self.round_session.conf.set(key, value)
         self.rounds_per_table = rounds_per_table
         self.rounds = 0
         self.path: str | None = None
         self.cached: DataFrame | None = None
-        self.table = table
+        self.table = states
         self._write_out()
 
     def _write_out(self) -> None:
         path = scratch_path(self.spark, "word-state")
         self.table.write.parquet(path)
-        self._forget_cache()
-        if self.path is not None:
-            remove(self.spark, self.path)
+        self.close()
         self.path = path
-        self.cached = self.spark.read.parquet(path).persist()
-        self.table = self.cached
+        self.table = self.round_session.read.schema(_STATE_SCHEMA).parquet(path)
         self.rounds = 0
 
     def _forget_cache(self) -> None:
@@ -173,6 +188,12 @@ class _WordState:
             self.cached.unpersist()
             self.cached = None
 
+    def all_pairs(self) -> DataFrame:
+        """Counts of all pairs, with the shuffle settings of the caller's session."""
+        if self.rounds:
+            self._write_out()
+        return pair_counts(self.spark.read.schema(_STATE_SCHEMA).parquet(self.path))
+
     def advance(self, replacements: list[tuple[str, str]], count_changes) -> list[tuple[str, int]]:
         """Apply merges; ``count_changes`` reads the words before and after."""
         if self.rounds >= self.rounds_per_table:
@@ -190,6 +211,7 @@ class _WordState:
         self._forget_cache()
         if self.path is not None:
             remove(self.spark, self.path)
+            self.path = None
 
 
 def learn_bpe(counted: DataFrame, config: VocabularyConfig) -> BpeModel:
@@ -199,9 +221,8 @@ def learn_bpe(counted: DataFrame, config: VocabularyConfig) -> BpeModel:
     come. Stops when the vocabulary is full, no pair is left, or the best pair is
     rarer than ``min_frequency``. The alphabet is never cut.
 
-    ``counted`` is read twice; give a written table rather than a long plan.
+    ``counted`` is read several times; give a written table rather than a long plan.
     """
-    spark = counted.sparkSession
     alphabet = collect_alphabet(counted)
     tokens = [*SPECIAL_TOKENS, *alphabet]
     ids = {token: i for i, token in enumerate(tokens)}
@@ -211,14 +232,15 @@ def learn_bpe(counted: DataFrame, config: VocabularyConfig) -> BpeModel:
         return BpeModel(tuple(tokens), ())
 
     states = as_symbols(counted, alphabet).filter(F.length("s") > 1).select("s", "cnt")
-    state = _WordState(spark, config.rounds_per_table, states)
+    states = states.repartition(math.ceil(counted.count() / _WORDS_PER_FILE))
+    state = _WordState(states, config.rounds_per_table)
     ranking = PairRanking(config.ranked_pairs)
     try:
         while len(tokens) < config.vocab_size:
             if ranking.stale or not ranking.counts:
                 if not ranking.stale and ranking.boundary is None:
                     break
-                top = best_pairs(pair_counts(state.table), ranking.limit).collect()
+                top = best_pairs(state.all_pairs(), ranking.limit).collect()
                 ranking.refill([(row.pair, row.n) for row in top])
             step = _Round(ranking, tokens, ids, config.vocab_size - len(tokens), threshold)
             if not step.merges:

@@ -15,7 +15,7 @@ from textloom.operators.positions import count_rows, key_positions
 from textloom.operators.profile import length_counts, length_histogram
 from textloom.operators.split import train_test_split
 from textloom.sources.tables import SPLIT, write_shards
-from textloom.sources.workspace import is_complete, materialize
+from textloom.sources.workspace import checkpointed, is_complete, materialize
 
 STAGE = "stage"
 
@@ -28,8 +28,8 @@ def prepare_source(source: DataFrame, keys: Sequence[str], path: str, config: Co
 
 
 def profile(df: DataFrame, config: CorpusConfig, column: str = "text") -> DataFrame:
-    """Length histogram of a corpus."""
-    return length_histogram(length_counts(df, column), config.histogram_bins)
+    """Length histogram of a corpus. The texts are read once, for the checkpointed counts."""
+    return length_histogram(checkpointed(length_counts(df, column)), config.histogram_bins)
 
 
 def profile_stages(stages: Mapping[str, DataFrame], config: CorpusConfig,
@@ -39,7 +39,8 @@ def profile_stages(stages: Mapping[str, DataFrame], config: CorpusConfig,
     together = rows[0]
     for more in rows[1:]:
         together = together.unionAll(more)
-    return length_histogram(length_counts(together, column, [STAGE]), config.histogram_bins, [STAGE])
+    counts = checkpointed(length_counts(together, column, [STAGE]))
+    return length_histogram(counts, config.histogram_bins, [STAGE])
 
 
 def split_and_shard(corpus: DataFrame, keys: Sequence[str], root: str, config: CorpusConfig) -> None:

@@ -117,11 +117,17 @@ def model(spark: SparkSession, sf_dir: str) -> BpeModel:
     return learn(spark, sf_dir, path)
 
 
+def word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word counts of the chunks, written once."""
+    return workspace.materialize(spark, _place(spark, sf_dir, "word-counts"),
+                                 lambda: ws.word_counts(chunk_table(spark, sf_dir)))
+
+
 def learn(spark: SparkSession, sf_dir: str, path: str) -> BpeModel:
-    corpus = chunk_table(spark, sf_dir)
-    n_chars = ws.distinct_characters(ws.word_counts(corpus)).count()
+    counted = word_table(spark, sf_dir)
+    n_chars = ws.distinct_characters(counted).count()
     config = VocabularyConfig(vocab_size=len(SPECIAL_TOKENS) + n_chars + LEARNED_MERGES)
-    return tokenizer.learn_tokenizer(corpus, path, config)
+    return tokenizer.learn_from_counts(counted, path, config)
 
 
 def char_model(counted: DataFrame) -> BpeModel:
@@ -384,8 +390,7 @@ def alphabet(spark, sf_dir):
 
 
 def symbol_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, BpeModel]:
-    counted = workspace.materialize(spark, _place(spark, sf_dir, "word-counts"),
-                                    lambda: ws.word_counts(chunks(spark, sf_dir)))
+    counted = word_table(spark, sf_dir)
     chars = char_model(counted)
     return ws.as_symbols(counted, chars.tokens[len(SPECIAL_TOKENS):]), chars
 
@@ -452,7 +457,7 @@ def wrap_markers(spark, sf_dir):
 def special_literals(spark, sf_dir):
     """Texts with markers written into them: at the start, after sentences, at the end."""
     rows = chunk_table(spark, sf_dir)
-    chars = char_model(ws.word_counts(rows))
+    chars = char_model(word_table(spark, sf_dir))
     marked = F.concat(F.lit("[SOS]"), F.replace("text", F.lit(". "), F.lit(".[EOS] [UNK]")), F.lit("[[PAD]]"))
     return rows.select(*KEYS, as_text(encode.encode(marked, chars)).alias("ids"))
 
@@ -500,7 +505,7 @@ def tokenize_corpus(spark, sf_dir):
 @query
 def tokenize_chars(spark, sf_dir):
     rows = chunk_table(spark, sf_dir)
-    chars = char_model(ws.word_counts(rows))
+    chars = char_model(word_table(spark, sf_dir))
     coded = encode.tokenize_corpus(rows, chars, CORPUS.max_length, keys=tuple(KEYS))
     return coded.select(*KEYS, as_text(F.col("input_ids")).alias("input_ids"))
 

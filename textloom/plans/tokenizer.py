@@ -14,6 +14,14 @@ from textloom.sources.tables import SHARD, SPLIT, read_splits
 from textloom.sources.workspace import is_complete, materialize, remove, scratch_path
 
 
+def learn_from_counts(counted: DataFrame, path: str, config: VocabularyConfig) -> BpeModel:
+    """The tokenizer at ``path``; learned from a table of word counts first if it is not there."""
+    spark = counted.sparkSession
+    if not is_complete(spark, f"{path}/vocab"):
+        learn_bpe(counted, config).save(spark, path)
+    return BpeModel.load(spark, path)
+
+
 def learn_tokenizer(corpus: DataFrame, path: str, config: VocabularyConfig,
                     column: str = "text") -> BpeModel:
     """The tokenizer at ``path``; learned from all texts of ``corpus`` first if it is not there.
@@ -21,12 +29,13 @@ def learn_tokenizer(corpus: DataFrame, path: str, config: VocabularyConfig,
     The texts are read once, for the word counts.
     """
     spark = corpus.sparkSession
-    if not is_complete(spark, f"{path}/vocab"):
-        counts_path = scratch_path(spark, "word-counts")
-        counted = materialize(spark, counts_path, lambda: word_counts(corpus, column))
-        learn_bpe(counted, config).save(spark, path)
-        remove(spark, counts_path)
-    return BpeModel.load(spark, path)
+    if is_complete(spark, f"{path}/vocab"):
+        return BpeModel.load(spark, path)
+    counts_path = scratch_path(spark, "word-counts")
+    counted = materialize(spark, counts_path, lambda: word_counts(corpus, column))
+    model = learn_from_counts(counted, path, config)
+    remove(spark, counts_path)
+    return model
 
 
 def learn_from_splits(spark: SparkSession, root: str, path: str, config: VocabularyConfig,
