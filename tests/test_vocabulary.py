@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from textloom.config import SPECIAL_TOKENS, VocabularyConfig
 from textloom.functions import sequences as seq
 from textloom.operators import encode, word_stats
-from textloom.operators.learn import learn_bpe
+from textloom.operators.learn import PairRanking, Round, learn_bpe
 from textloom.operators.model import BpeModel
 from textloom.plans import tokenizer
 
@@ -110,10 +110,22 @@ def test_rounds_equal_one_merge_at_a_time(spark, seed, letters, limit):
     assert got == expected
 
 
-def test_a_merge_into_an_existing_token_ends_the_round(spark):
-    """``ab c`` and ``a bc`` lead to one token."""
-    corpus = ["abc " * 9 + "ab " * 30 + "bc " * 20 + "xbc " * 5 + "abcd " * 6 + "abx " * 3]
-    assert learn(spark, corpus, 30) == one_at_a_time(corpus, 30)
+def test_a_merge_into_an_existing_token_stands_alone():
+    """No corpus is known that leads there, so the round is built by hand."""
+    tokens = [*SPECIAL_TOKENS, "a", "b", "c", "d", "ab", "bc", "abc"]
+    ids = {t: i for i, t in enumerate(tokens)}
+
+    def pair(left, right):
+        return word_stats.symbol(ids[left]) + word_stats.symbol(ids[right])
+
+    ranking = PairRanking(10)
+    ranking.refill([(pair("c", "d"), 5), (pair("a", "bc"), 4), (pair("d", "d"), 3)])
+    first = Round(ranking, tokens, ids, 10, 1)
+    assert first.new_tokens == ["cd"] and not first.reuses_token
+    ranking.refill([(pair("a", "bc"), 4), (pair("d", "d"), 3)])
+    second = Round(ranking, tokens, ids, 10, 1)
+    assert second.merges == [(pair("a", "bc"), ids["abc"])]
+    assert second.reuses_token and not second.new_tokens
 
 
 def test_self_pairs(spark):

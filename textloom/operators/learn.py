@@ -92,7 +92,7 @@ class PairRanking:
             self.boundary = _rank_key(*kept[-1])
 
 
-class _Round:
+class Round:
     """The merges of one round, taken from the top of the ranking."""
 
     def __init__(self, ranking: PairRanking, tokens: list[str], ids: dict[str, int],
@@ -242,7 +242,7 @@ def learn_bpe(counted: DataFrame, config: VocabularyConfig) -> BpeModel:
                     break
                 top = best_pairs(state.all_pairs(), ranking.limit).collect()
                 ranking.refill([(row.pair, row.n) for row in top])
-            step = _Round(ranking, tokens, ids, config.vocab_size - len(tokens), threshold)
+            step = Round(ranking, tokens, ids, config.vocab_size - len(tokens), threshold)
             if not step.merges:
                 break
             first_new, near = symbol(len(tokens)), ranking.neighbours(step.pairs)

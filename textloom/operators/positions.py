@@ -1,8 +1,8 @@
 """Exact global row positions without a global window.
 
-Rows are cut into ordered pieces; the pieces are counted, and a row's position is
-the number of rows in earlier pieces plus its place in its own. Only the piece
-sizes, a bounded small table, are ever ordered in one place.
+Rows are cut into ordered pieces, one task each. The pieces are counted, and a row's
+position is the number of rows in earlier pieces plus its place in its own. Only the
+piece sizes, at most 100,000 numbers, ever meet in one task or are broadcast.
 """
 
 from __future__ import annotations
@@ -17,53 +17,55 @@ from textloom.functions.hashing import seeded_hash
 from textloom.sources.workspace import checkpointed
 
 POSITION = "pos"
-_ROWS_PER_PIECE = 500_000
-_COARSE_DIGITS = 3
+_ROWS_PER_PIECE = 1_000_000
+_SMALL_PIECE = 10_000
+_MAX_PIECES = 100_000
+_HASH_DIGITS = 8
 
 
 def count_rows(df: DataFrame) -> int:
     return df.count()
 
 
-def hash_digits(n_rows: int) -> int:
-    """Leading hex digits that give pieces of some 500,000 rows; at most 16^6 pieces."""
-    wanted = math.ceil(math.log(max(n_rows / _ROWS_PER_PIECE, 1), 16))
-    return min(max(wanted, _COARSE_DIGITS), 6)
+def piece_count(n_rows: int, cores: int) -> int:
+    """Enough pieces to keep the cores busy and the pieces small, within the bound."""
+    wanted = max(min(cores, math.ceil(n_rows / _SMALL_PIECE)), math.ceil(n_rows / _ROWS_PER_PIECE), 1)
+    return min(wanted, _MAX_PIECES)
 
 
-def _running_before(window: Window) -> Column:
-    before = F.sum("size").over(window.rowsBetween(Window.unboundedPreceding, -1))
-    return F.coalesce(before, F.lit(0))
+def _rows_before(pieces: DataFrame) -> DataFrame:
+    """Rows in earlier pieces, from one row per row of the table: its piece number."""
+    sizes = pieces.groupBy("piece").agg(F.count("*").alias("size"))
+    earlier = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select("piece", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
 
 
-def _hash_offsets(pieces: DataFrame) -> DataFrame:
-    """Rows before each piece: first over at most 4,096 coarse pieces, then inside each."""
-    fine = pieces.groupBy("piece").agg(F.count("*").alias("size")).withColumn(
-        "coarse", F.substring("piece", 1, _COARSE_DIGITS))
-    coarse = fine.groupBy("coarse").agg(F.sum("size").alias("size"))
-    coarse = coarse.select("coarse", _running_before(Window.orderBy("coarse")).alias("coarse_before"))
-    inside = fine.withColumn("fine_before", _running_before(Window.partitionBy("coarse").orderBy("piece")))
-    return inside.join(coarse, "coarse").select(
-        "piece", (F.col("coarse_before") + F.col("fine_before")).alias("before"))
+def _hash_piece(hashed: Column, pieces: int) -> Column:
+    """The piece of a hash value: equal ranges of its leading digits."""
+    leading = F.conv(F.substring(hashed, 1, _HASH_DIGITS), 16, 10).cast("bigint")
+    return F.floor(leading * pieces / F.lit(float(16 ** _HASH_DIGITS))).cast("int")
 
 
 def hash_positions(df: DataFrame, keys: Sequence[str], seed: int, epoch: int | None = None,
-                   digits: int | None = None, name: str = POSITION) -> DataFrame:
+                   n_rows: int | None = None, name: str = POSITION) -> DataFrame:
     """Add each row's position in seeded random order; ``keys`` must be unique.
 
     The order is md5 of ``seed:[epoch:]keys``, then the keys. The piece of a row is
-    a prefix of its hash, a pure function of the keys: it holds after a lost
-    executor, and pieces are even as the keys are unique. One shuffle of the rows.
+    a range of its hash: a pure function of the keys, so it holds after a lost
+    executor, and even, as the keys are unique. The keys are read once to count,
+    and the rows are shuffled once, straight to the task of their piece. Tasks come
+    out in position order.
     """
     salts = (seed,) if epoch is None else (seed, epoch)
-    if digits is None:
-        digits = hash_digits(count_rows(df.select(*keys)))
-    hashed = df.withColumn("_hash", seeded_hash(keys, *salts))
-    hashed = hashed.withColumn("piece", F.substring("_hash", 1, digits))
-    offsets = _hash_offsets(hashed.select("piece"))
+    if n_rows is None:
+        n_rows = count_rows(df.select(*keys))
+    pieces = piece_count(n_rows, df.sparkSession.sparkContext.defaultParallelism)
+    hashed = df.withColumn("_hash", seeded_hash(keys, *salts)).withColumn(
+        "piece", _hash_piece(F.col("_hash"), pieces))
     place = F.row_number().over(Window.partitionBy("piece").orderBy("_hash", *keys))
     return (
-        hashed.withColumn("_place", place).join(offsets, "piece")
+        hashed.repartitionById(pieces, "piece").withColumn("_place", place)
+        .join(F.broadcast(_rows_before(hashed.select("piece"))), "piece")
         .withColumn(name, F.col("before") + F.col("_place") - 1)
         .drop("piece", "_hash", "_place", "before")
     )
@@ -78,17 +80,13 @@ def key_positions(df: DataFrame, keys: Sequence[str], n_rows: int | None = None,
     sorted rows are checkpointed, which fixes the pieces: a task run again reads
     the same rows in the same order.
     """
-    spark = df.sparkSession
     if n_rows is None:
         n_rows = count_rows(df.select(*keys))
-    cores = spark.sparkContext.defaultParallelism
-    n_pieces = max(min(cores, math.ceil(n_rows / 10_000)), math.ceil(n_rows / (2 * _ROWS_PER_PIECE)), 1)
-    ordered = checkpointed(df.repartitionByRange(n_pieces, *keys).sortWithinPartitions(*keys))
+    pieces = piece_count(n_rows, df.sparkSession.sparkContext.defaultParallelism)
+    ordered = checkpointed(df.repartitionByRange(pieces, *keys).sortWithinPartitions(*keys))
 
     numbered = ordered.withColumn("_row", F.monotonically_increasing_id())
     numbered = numbered.withColumn("piece", F.shiftright("_row", 33))
-    sizes = numbered.groupBy("piece").agg(F.count("*").alias("size"))
-    offsets = sizes.select("piece", _running_before(Window.orderBy("piece")).alias("before"))
     place = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
-    return (numbered.join(offsets, "piece")
+    return (numbered.join(F.broadcast(_rows_before(numbered.select("piece"))), "piece")
             .withColumn(name, F.col("before") + place).drop("piece", "before", "_row"))

@@ -44,11 +44,11 @@ HASHED = f"""hashed as (
 SPLIT = f"""labelled as (
   select doc_id, part_idx, text,
          case when row_number() over (order by h, doc_id, part_idx)
-                   <= ceil({CORPUS.test_ratio}::double * n) then 'test' else 'train' end as split
+                   <= ceil({CORPUS.test_ratio}::double * n) then 'test' else 'train' end as split, h
   from hashed)"""
 
 SHARDS = f"""shards as (
-  select *, row_number() over (partition by split order by doc_id, part_idx) - 1 as pos, count(*) over (partition by split) as split_rows
+  select *, row_number() over (partition by split order by h, doc_id, part_idx) - 1 as pos, count(*) over (partition by split) as split_rows
   from labelled),
 sharded as (
   select *, case when pos < m * (q + 1) then pos // (q + 1) else m + (pos - m * (q + 1)) // q end as shard_id

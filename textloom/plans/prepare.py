@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.config import CorpusConfig
-from textloom.operators.arrange import assign_shards
+from textloom.operators.arrange import shard_count, shard_of
 from textloom.operators.chunk import PART, split_long_texts
 from textloom.operators.combine import combine_corpora
-from textloom.operators.positions import count_rows, key_positions
+from textloom.operators.positions import POSITION, count_rows, hash_positions
 from textloom.operators.profile import length_counts, length_histogram
-from textloom.operators.split import train_test_split
-from textloom.sources.tables import SPLIT, write_shards
+from textloom.operators.split import split_sizes
+from textloom.sources.tables import SHARD, SPLIT, write_shards
 from textloom.sources.workspace import checkpointed, is_complete, materialize
 
 STAGE = "stage"
@@ -46,15 +46,24 @@ def profile_stages(stages: Mapping[str, DataFrame], config: CorpusConfig,
 def split_and_shard(corpus: DataFrame, keys: Sequence[str], root: str, config: CorpusConfig) -> None:
     """Seeded train / test split, written as balanced shards below ``root``.
 
-    Give a written table: its keys are read several times, its rows once per split.
+    Rows are split, and sharded within their split, by position in seeded random
+    order; they are shuffled once. Give a written table: its keys are read first,
+    to be counted.
     """
-    labelled = train_test_split(corpus, keys, config.train_ratio, config.test_ratio, config.seed)
-    sharded = []
-    for name in ("train", "test"):
-        rows = labelled.filter(F.col(SPLIT) == name)
-        n_rows = count_rows(rows.select(*keys))
-        sharded.append(assign_shards(key_positions(rows, keys, n_rows), n_rows, config.shard_rows))
-    write_shards(sharded[0].unionByName(sharded[1]).drop("pos"), root, config.shard_rows)
+    n_rows = count_rows(corpus.select(*keys))
+    n_train, n_test = split_sizes(n_rows, config.train_ratio, config.test_ratio)
+    placed = hash_positions(corpus, keys, config.seed, n_rows=n_rows)
+
+    is_test = F.col(POSITION) < n_test
+    test_shards = shard_count(n_test, config.shard_rows)
+    train_shards = shard_count(n_train, config.shard_rows)
+    shard = (F.when(is_test, shard_of(F.col(POSITION), n_test, test_shards))
+             .otherwise(shard_of(F.col(POSITION) - n_test, n_train, train_shards)))
+    labelled = (
+        placed.filter(F.col(POSITION) < n_test + n_train)
+        .withColumn(SPLIT, F.when(is_test, "test").otherwise("train"))
+        .withColumn(SHARD, shard).drop(POSITION))
+    write_shards(labelled, root)
 
 
 def combine_sources(spark: SparkSession, sources: Mapping[str, DataFrame], keys: Sequence[str],

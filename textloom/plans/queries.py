@@ -363,7 +363,7 @@ def epoch_order(spark, sf_dir):
 def rank_shards(spark, sf_dir):
     rows = chunk_table(spark, sf_dir).select(*KEYS)
     n_rows = positions.count_rows(rows)
-    placed = positions.hash_positions(rows, KEYS, CORPUS.seed, EPOCH, positions.hash_digits(n_rows))
+    placed = positions.hash_positions(rows, KEYS, CORPUS.seed, EPOCH, n_rows)
     return arrange.assign_ranks(placed, n_rows, WORLD_SIZE)
 
 

@@ -34,15 +34,14 @@ def write_splits(df: DataFrame, root: str, shard_rows: int) -> None:
        .partitionBy(SPLIT).parquet(root))
 
 
-def write_shards(df: DataFrame, root: str, shard_rows: int) -> None:
-    """Write ``split=<name>/shard_id=<i>/``, one file for each balanced shard.
+def write_shards(df: DataFrame, root: str) -> None:
+    """Write ``split=<name>/shard_id=<i>/`` directories.
 
-    ``df`` has the columns ``split`` and ``shard_id``. A shard holds at most
-    ``shard_rows`` rows, so no task gets an unbounded group.
+    ``df`` has the columns ``split`` and ``shard_id`` and comes in position order, so
+    that a task holds a few neighbouring shards. No shuffle: a shard that spans tasks
+    gets a file from each.
     """
-    (df.repartition(SPLIT, SHARD)
-       .write.mode("overwrite").option("maxRecordsPerFile", shard_rows)
-       .partitionBy(SPLIT, SHARD).parquet(root))
+    df.write.mode("overwrite").partitionBy(SPLIT, SHARD).parquet(root)
 
 
 def read_splits(spark: SparkSession, root: str, splits: list[str] | None = None) -> DataFrame:
