@@ -77,11 +77,17 @@ def test_report_line(spark):
 
 
 def test_stage_profiles_equal_single_profiles(spark):
-    a, b = texts(spark, ["x" * n for n in (3, 9, 40)]), texts(spark, ["x" * n for n in (5, 5)])
-    staged = prepare.profile_stages({"a": a, "b": b}, CorpusConfig())
-    for name, df in (("a", a), ("b", b)):
-        one = prepare.profile(df, CorpusConfig())
-        assert sorted(staged.filter(F.col("stage") == name).drop("stage").collect()) == sorted(one.collect())
+    config = CorpusConfig(min_chars=3, max_chars=6)
+    sources = {"a": texts(spark, ["x" * n for n in (2, 4, 40)] + ["yyy\nzzzzz\nw", None]),
+               "b": texts(spark, ["x" * n for n in (5, 5)])}
+    staged = prepare.profile_stages(sources, config)
+    parts = {name: chunk.split_long_texts(df, ["id"], 3, 6) for name, df in sources.items()}
+    expected = {"a raw": sources["a"], "b raw": sources["b"], "a chunks": parts["a"], "b chunks": parts["b"],
+                "combined": parts["a"].unionAll(parts["b"])}
+    for stage, df in expected.items():
+        got = staged.filter(F.col("stage") == stage).drop("stage").collect()
+        assert sorted(got) == sorted(prepare.profile(df, config).collect()), stage
+    assert staged.select("stage").distinct().count() == len(expected)
 
 
 def test_combining_keeps_duplicates(spark):

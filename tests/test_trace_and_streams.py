@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.config import CorpusConfig
 from textloom.operators import chunk, encode, trace, word_stats
-from textloom.plans import prepare, tokenizer
+from textloom.plans import jobs, prepare, tokenizer
 from textloom.plans.queries import char_model
 from textloom.sources import tables
 from textloom.streaming import arrivals
@@ -118,3 +118,14 @@ def test_from_sources_to_tokenized_shards(spark, shard_dir, tmp_path):
     assert done.filter(F.size("input_ids") != config.max_length).count() == 0
     # Texts of at most 126 characters are never cut.
     assert done.filter(~F.array_contains("input_ids", 3)).count() == 0
+
+
+def test_jobs_from_the_command_line(spark, shard_dir, tmp_path, capsys):
+    work = str(tmp_path / "work")
+    jobs.main(["prepare", "--source", f"documents={shard_dir}", "--work", work, "--shard-rows", "40"])
+    assert "documents raw: Length: " in capsys.readouterr().out
+    for _ in range(2):
+        jobs.main(["tokenize", "--work", work, "--vocab-size", "100"])
+    done = tables.read_splits(spark, f"{work}/tokenized")
+    assert done.count() == tables.read_splits(spark, f"{work}/splits").count()
+    assert spark.read.parquet(f"{work}/tokenizer/vocab").count() == 100

@@ -54,6 +54,24 @@ def split_long_texts(df: DataFrame, keys: Sequence[str], min_chars: int, max_cha
     )
 
 
+def lengths_before_and_after(df: DataFrame, min_chars: int, max_chars: int,
+                             column: str = "text") -> DataFrame:
+    """``(stage, length)`` of every text (``raw``) and of every part it gives (``chunks``).
+
+    Each text is read once for both.
+    """
+    text = F.col(column)
+    part_lengths = F.when(F.length(text) >= min_chars, F.filter(
+        F.transform(_candidate_parts(text, max_chars), F.length),
+        lambda n: n.between(min_chars, max_chars))).otherwise(F.array().cast("array<int>"))
+
+    def staged(name: str, lengths: Column) -> Column:
+        return F.transform(lengths, lambda n: F.struct(F.lit(name).alias("stage"), n.alias("length")))
+
+    both = F.concat(staged("raw", F.array(F.length(text))), staged("chunks", part_lengths))
+    return df.filter(text.isNotNull()).select(F.inline(both))
+
+
 def part_outcomes(df: DataFrame, min_chars: int, max_chars: int,
                   column: str = "text") -> DataFrame:
     """How many parts the splitting keeps, and how many it drops for which reason."""

@@ -135,8 +135,10 @@ def _count_changes(merged: DataFrame, first_new: str, neighbours: list[str],
 
     Only words that a merge has changed take part, and the pairs are filtered
     before they are summed. Written as one statement: a round is short, and the
-    time to put a plan together counts.
+    time to put a plan together counts. For the same reason the count limit is
+    lowered to a power of two; most rounds then find their code compiled.
     """
+    limit = 1 << (lowest_count.bit_length() - 1)
     new = sql_text(first_new)
     wanted = f"left(pair, 1) >= {new} OR right(pair, 1) >= {new}"
     if neighbours:
@@ -148,7 +150,7 @@ def _count_changes(merged: DataFrame, first_new: str, neighbours: list[str],
                     FROM {{merged}} WHERE old <> s))
         WHERE {wanted}
         GROUP BY pair
-        HAVING sum(n) < 0 OR sum(n) >= {lowest_count}""", merged=merged)
+        HAVING sum(n) < 0 OR sum(n) >= {limit}""", merged=merged)
     return [(row.pair, row.n) for row in changes.collect()]
 
 

@@ -78,13 +78,13 @@ def length_histogram(lengths: DataFrame, bins: int, by: Sequence[str] = ()) -> D
     )
 
 
-def length_report(histogram: DataFrame) -> DataFrame:
+def length_report(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One printable line per bin."""
     line = F.concat(
         F.lit("Length: "), grouped(F.col("lo")), F.lit(" - "), grouped(F.col("hi")),
         F.lit(", Counts: "), grouped(F.col("cnt")),
         F.lit(", Percentage: "), fixed(F.col("pct"), 6), F.lit("%"))
-    return histogram.select("bin_idx", line.alias("line"))
+    return histogram.select(*by, "bin_idx", line.alias("line"))
 
 
 def corpus_summary(df: DataFrame) -> DataFrame:

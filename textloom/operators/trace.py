@@ -42,10 +42,12 @@ def best_epochs(losses: DataFrame, by: Sequence[str] = (), split: str = "valid")
 
 def epoch_duration(timed: DataFrame, ts: str = "ts") -> DataFrame:
     """Whole minutes and remaining whole seconds from the first to the last row of an epoch."""
-    elapsed = F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts))
-    spent = timed.groupBy("epoch").agg(elapsed.alias("us"))
-    seconds = F.floor(F.col("us") / 1_000_000)
-    return spent.select("epoch", F.floor(seconds / 60).alias("minutes"), (seconds % 60).alias("seconds"))
+    def part(unit: str):
+        return F.extract(F.lit(unit), F.col("spent")).cast("bigint")
+
+    spent = timed.groupBy("epoch").agg((F.max(ts) - F.min(ts)).alias("spent"))
+    minutes = part("DAY") * 1440 + part("HOUR") * 60 + part("MINUTE")
+    return spent.select("epoch", minutes.alias("minutes"), part("SECOND").alias("seconds"))
 
 
 def loss_history(losses: DataFrame, by: Sequence[str] = ()) -> DataFrame:

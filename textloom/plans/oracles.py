@@ -261,9 +261,9 @@ _add("length_report", """select bin_idx, 'Length: ' || format('{:,}', lo) || ' -
 from histogram""", _lengths("documents"), _histogram("lengths"))
 _add("corpus_summary", "select 'doc_id, text, lang, source, n_chars' as features, count(*) as num_rows from documents")
 _add("stage_profile", "select stage, bin_idx, lo, hi, cnt, pct from histogram",
-     CHUNKS, CORPORA, _chunked("combined", "corpora", "corpus, row_id"), """staged as (
-  select 'raw' as stage, length(text)::bigint as length from documents
-  union all select 'chunks', length(text) from chunks
+     CORPORA, _chunked("combined", "corpora", "corpus, row_id"), """staged as (
+  select corpus || ' raw' as stage, length(text)::bigint as length from corpora
+  union all select corpus || ' chunks', length(text) from combined
   union all select 'combined', length(text) from combined)""", _histogram("staged", "stage"))
 
 # Ordering, splitting

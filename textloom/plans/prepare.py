@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.config import CorpusConfig
 from textloom.operators.arrange import shard_count, shard_of
-from textloom.operators.chunk import PART, split_long_texts
+from textloom.operators.chunk import PART, lengths_before_and_after, split_long_texts
 from textloom.operators.combine import combine_corpora
 from textloom.operators.positions import POSITION, count_rows, hash_positions
 from textloom.operators.profile import length_counts, length_histogram
@@ -17,8 +18,6 @@ from textloom.operators.split import split_sizes
 from textloom.sources.tables import SHARD, SPLIT, write_shards
 from textloom.sources.workspace import checkpointed, is_complete, materialize
 
-STAGE = "stage"
-
 
 def prepare_source(source: DataFrame, keys: Sequence[str], path: str, config: CorpusConfig,
                    column: str = "text") -> DataFrame:
@@ -32,15 +31,21 @@ def profile(df: DataFrame, config: CorpusConfig, column: str = "text") -> DataFr
     return length_histogram(checkpointed(length_counts(df, column)), config.histogram_bins)
 
 
-def profile_stages(stages: Mapping[str, DataFrame], config: CorpusConfig,
+def profile_stages(sources: Mapping[str, DataFrame], config: CorpusConfig,
                    column: str = "text") -> DataFrame:
-    """Length histograms of several corpora side by side, in one job."""
-    rows = [df.select(F.lit(name).alias(STAGE), column) for name, df in stages.items()]
-    together = rows[0]
-    for more in rows[1:]:
-        together = together.unionAll(more)
-    counts = checkpointed(length_counts(together, column, [STAGE]))
-    return length_histogram(counts, config.histogram_bins, [STAGE])
+    """Length histograms of each source before and after chunking, and of all chunks together.
+
+    Stages are named ``<source> raw``, ``<source> chunks`` and ``combined``. Each text
+    is read once; the combined counts are summed from those of the sources.
+    """
+    lengths = [
+        lengths_before_and_after(df, config.min_chars, config.max_chars, column)
+        .withColumn("stage", F.concat_ws(" ", F.lit(name), "stage")) for name, df in sources.items()]
+    counts = checkpointed(reduce(DataFrame.unionAll, lengths)
+                          .groupBy("stage", "length").agg(F.count("*").alias("cnt")))
+    combined = (counts.filter(F.col("stage").endswith(" chunks"))
+                .groupBy(F.lit("combined").alias("stage"), "length").agg(F.sum("cnt").alias("cnt")))
+    return length_histogram(counts.unionByName(combined), config.histogram_bins, ["stage"])
 
 
 def split_and_shard(corpus: DataFrame, keys: Sequence[str], root: str, config: CorpusConfig) -> None:

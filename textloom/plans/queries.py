@@ -66,11 +66,6 @@ def corpora(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             for name, key in keys.items()}
 
 
-def chunked_corpora(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: chunk.split_long_texts(df, ["row_id"], CORPUS.min_chars, CORPUS.max_chars)
-            for name, df in corpora(spark, sf_dir).items()}
-
-
 def losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A training trace made from the events: one epoch a day."""
     valid = F.col("event_type").isin("error", "signup")
@@ -325,9 +320,7 @@ def corpus_summary(spark, sf_dir):
 
 @query
 def stage_profile(spark, sf_dir):
-    combined = combine.combine_corpora(chunked_corpora(spark, sf_dir))
-    return prepare.profile_stages({"raw": documents(spark, sf_dir), "chunks": chunks(spark, sf_dir),
-                                   "combined": combined}, CORPUS)
+    return prepare.profile_stages(corpora(spark, sf_dir), CORPUS)
 
 
 # Ordering, splitting -------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,19 +55,15 @@ def read_splits(spark: SparkSession, root: str, splits: list[str] | None = None)
 
 def read_plain_splits(spark: SparkSession, root: str,
                       splits: list[str] | None = None) -> DataFrame:
-    """All splits below ``root`` laid out as ``<name>/*.parquet``.
+    """Splits below ``root`` laid out as ``<name>/*.parquet``, with the column ``split``.
 
-    Directories without Parquet files give no rows. The split name is taken from
-    the file path, so a filter on it still skips files.
+    All of them, or only the directories named. Directories without Parquet files
+    give no rows.
     """
+    paths = [root] if splits is None else [f"{root}/{name}" for name in splits]
     df = (spark.read.option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", "*.parquet").parquet(root))
-    df = df.withColumn(SPLIT, _split_of(F.col("_metadata.file_path")))
-    return df if splits is None else df.filter(F.col(SPLIT).isin(splits))
-
-
-def _split_of(file_path: Column) -> Column:
-    return F.element_at(F.split(file_path, "/", -1), -2)
+          .option("pathGlobFilter", "*.parquet").parquet(*paths))
+    return df.withColumn(SPLIT, F.element_at(F.split("_metadata.file_path", "/", -1), -2))
 
 
 def write_text(df: DataFrame, path: str, column: str = "text") -> None:
