@@ -39,6 +39,7 @@ _ROUND_SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "4m",
     "spark.sql.files.openCostInBytes": "4m",
 }
+_SEPARATOR = "\0"           # never a symbol
 _STATE_SCHEMA = "s string, cnt bigint"
 
 
@@ -129,28 +130,30 @@ class Round:
         return [(pair, symbol(new_id)) for pair, new_id in self.merges]
 
 
-def _count_changes(merged: DataFrame, first_new: str, neighbours: list[str],
-                   lowest_count: int) -> list[tuple[str, int]]:
+def _count_changes(merged: DataFrame, merged_pairs: list[str], first_new: str,
+                   neighbours: list[str], lowest_count: int) -> list[tuple[str, int]]:
     """Changed counts of the neighbours, and counts of new pairs that can rank.
 
-    Only words that a merge has changed take part, and the pairs are filtered
-    before they are summed. Written as one statement: a round is short, and the
-    time to put a plan together counts. For the same reason the count limit is
-    lowered to a power of two; most rounds then find their code compiled.
+    Only words that a merge has changed take part. Pairs that cannot have changed are
+    dropped before they are summed, and those that do not rank before they come back.
+    Written as one statement: a round is short, and the time to put a plan together
+    counts. For the same reason the count limit is lowered to a power of two; most
+    rounds then find their code compiled.
     """
     limit = 1 << (lowest_count.bit_length() - 1)
     new = sql_text(first_new)
-    wanted = f"left(pair, 1) >= {new} OR right(pair, 1) >= {new}"
-    if neighbours:
-        wanted += f" OR pair IN ({', '.join(map(sql_text, neighbours))})"
+    lefts, rights = (sql_text("".join({pair[side] for pair in merged_pairs})) for side in (0, 1))
+    listed = sql_text("".join(_SEPARATOR + pair for pair in neighbours))
     changes = merged.sparkSession.sql(f"""
         SELECT pair, sum(n) AS n
         FROM (SELECT explode({ADJACENT_PAIRS_SQL.format("side.s")}) AS pair, side.n AS n
               FROM (SELECT explode(array(struct(old AS s, -cnt AS n), struct(s, cnt AS n))) AS side
                     FROM {{merged}} WHERE old <> s))
-        WHERE {wanted}
+        WHERE left(pair, 1) >= {new} OR right(pair, 1) >= {new}
+           OR instr({rights}, left(pair, 1)) > 0 OR instr({lefts}, right(pair, 1)) > 0
         GROUP BY pair
-        HAVING sum(n) < 0 OR sum(n) >= {limit}""", merged=merged)
+        HAVING sum(n) >= {limit}
+            OR (sum(n) < 0 AND instr({listed}, concat({sql_text(_SEPARATOR)}, pair)) > 0)""", merged=merged)
     return [(row.pair, row.n) for row in changes.collect()]
 
 
@@ -249,7 +252,7 @@ def learn_bpe(counted: DataFrame, config: VocabularyConfig) -> BpeModel:
                 break
             first_new, near = symbol(len(tokens)), ranking.neighbours(step.pairs)
             changes = state.advance(step.replacements, lambda merged: _count_changes(
-                merged, first_new, near, ranking.lowest_count))
+                merged, step.pairs, first_new, near, ranking.lowest_count))
             for pair, new_id in step.merges:
                 merges.append((token_id(pair[0]), token_id(pair[1]), new_id))
             for text in step.new_tokens:
