@@ -43,7 +43,7 @@ class VocabularyConfig:
     vocab_size: int = 32_000
     min_frequency: int = 0
     ranked_pairs: int = 1_024
-    rounds_per_table: int = 5
+    rounds_per_table: int = 10
 
 
 @dataclass(frozen=True)

@@ -32,7 +32,7 @@ from textloom.operators.word_stats import (
 from textloom.sources.workspace import remove, scratch_path
 
 _MAX_PAIRS_PER_ROUND = 64
-_WORDS_PER_FILE = 50_000
+_WORDS_PER_FILE = 100_000
 # One task per file, and few shuffle partitions.
 _ROUND_SETTINGS = {
     "spark.sql.shuffle.partitions": "16",
@@ -136,24 +136,24 @@ def _count_changes(merged: DataFrame, merged_pairs: list[str], first_new: str,
 
     Only words that a merge has changed take part. Pairs that cannot have changed are
     dropped before they are summed, and those that do not rank before they come back.
-    Written as one statement: a round is short, and the time to put a plan together
-    counts. For the same reason the count limit is lowered to a power of two; most
-    rounds then find their code compiled.
+    Expressions are written as SQL: a round is short, and the time to put a plan
+    together counts. For the same reason the count limit is lowered to a power of two;
+    most rounds then find their code compiled.
     """
     limit = 1 << (lowest_count.bit_length() - 1)
     new = sql_text(first_new)
     lefts, rights = (sql_text("".join({pair[side] for pair in merged_pairs})) for side in (0, 1))
     listed = sql_text("".join(_SEPARATOR + pair for pair in neighbours))
-    changes = merged.sparkSession.sql(f"""
-        SELECT pair, sum(n) AS n
-        FROM (SELECT explode({ADJACENT_PAIRS_SQL.format("side.s")}) AS pair, side.n AS n
-              FROM (SELECT explode(array(struct(old AS s, -cnt AS n), struct(s, cnt AS n))) AS side
-                    FROM {{merged}} WHERE old <> s))
-        WHERE left(pair, 1) >= {new} OR right(pair, 1) >= {new}
-           OR instr({rights}, left(pair, 1)) > 0 OR instr({lefts}, right(pair, 1)) > 0
-        GROUP BY pair
-        HAVING sum(n) >= {limit}
-            OR (sum(n) < 0 AND instr({listed}, concat({sql_text(_SEPARATOR)}, pair)) > 0)""", merged=merged)
+    changes = (
+        merged.where("old <> s")
+        .selectExpr("explode(array(struct(old AS s, -cnt AS n), struct(s, cnt AS n))) AS side")
+        .selectExpr(f"explode({ADJACENT_PAIRS_SQL.format('side.s')}) AS pair", "side.n AS n")
+        .where(f"""left(pair, 1) >= {new} OR right(pair, 1) >= {new}
+                   OR instr({rights}, left(pair, 1)) > 0 OR instr({lefts}, right(pair, 1)) > 0""")
+        .groupBy("pair").agg(F.expr("sum(n) AS n"))
+        .where(f"""n >= {limit}
+                   OR (n < 0 AND instr({listed}, concat({sql_text(_SEPARATOR)}, pair)) > 0)""")
+    )
     return [(row.pair, row.n) for row in changes.collect()]
 
 
@@ -168,8 +168,9 @@ class _WordState:
     task and filtered, so they need few shuffle partitions, however big the corpus.
     """
 
-    def __init__(self, states: DataFrame, rounds_per_table: int) -> None:
+    def __init__(self, states: DataFrame, n_words: int, rounds_per_table: int) -> None:
         self.spark = states.sparkSession
+        self.files = max(math.ceil(n_words / _WORDS_PER_FILE), 1)
         self.round_session = self.spark.newSession()
         for key, value in _ROUND_SETTINGS.items():
             self.round_session.conf.set(key, value)
@@ -177,7 +178,7 @@ class _WordState:
         self.rounds = 0
         self.path: str | None = None
         self.cached: DataFrame | None = None
-        self.table = states
+        self.table = states.repartition(self.files)
         self._write_out()
 
     def _write_out(self) -> None:
@@ -186,6 +187,9 @@ class _WordState:
         self.close()
         self.path = path
         self.table = self.round_session.read.schema(_STATE_SCHEMA).parquet(path)
+        if self.files == 1:
+            # Known to be one partition, rounds need no shuffle.
+            self.table = self.table.coalesce(1)
         self.rounds = 0
 
     def _forget_cache(self) -> None:
@@ -237,8 +241,7 @@ def learn_bpe(counted: DataFrame, config: VocabularyConfig) -> BpeModel:
         return BpeModel(tuple(tokens), ())
 
     states = as_symbols(counted, alphabet).filter(F.length("s") > 1).select("s", "cnt")
-    states = states.repartition(math.ceil(counted.count() / _WORDS_PER_FILE))
-    state = _WordState(states, config.rounds_per_table)
+    state = _WordState(states, counted.count(), config.rounds_per_table)
     ranking = PairRanking(config.ranked_pairs)
     try:
         while len(tokens) < config.vocab_size:
