@@ -25,8 +25,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def discard(table: DataFrame) -> None:
     """Remove the files of a table made by :func:`stored`."""
-    for path in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
-        workspace.remove(table.sparkSession, path)
+    for name in {file.rsplit("/", 2)[-2] for file in table.inputFiles()}:
+        workspace.remove(table.sparkSession, f"{workspace.scratch_root(table.sparkSession)}/{name}")
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
