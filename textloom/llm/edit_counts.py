@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.distinct_words import batch_words
-from textloom.llm.tables import worker_cache
+from textloom.llm.tables import text_slices, worker_cache
 from textloom.llm.token_files import KEPT_WORDS, WHITE
 
 LEAF_WORDS = 32
@@ -120,9 +120,11 @@ def edit(counter: WordCounter, text: str, leaf_chars: np.ndarray, sums: np.ndarr
     pre-tokens, and may be empty.
     """
     encoded = 0
-    for start, end, new in sorted(edits, reverse=True):         # from the back: places before stay as they are
-        if not 0 <= start <= end <= len(text):
-            raise ValueError("an edit lies outside of its text")
+    limit = len(text)
+    for start, end, new in reversed(edits):                     # from the back: places before stay as they are
+        if not 0 <= start <= end <= limit:
+            raise ValueError("edits must be in order, apart, and inside of the text")
+        limit = start
         begins = np.concatenate(([0], np.cumsum(leaf_chars)))
         changed = text[:start] + new + text[end:]
         grown = len(new) - (end - start)
@@ -171,8 +173,7 @@ def build_trees(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(tokenizer_path)
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                part = batch.slice(start, 2000)
+            for part in text_slices(batch):
                 found = counter.batch_leaves(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text").cast(pa.string()),

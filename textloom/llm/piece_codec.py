@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.distinct_words import batch_words, gather
-from textloom.llm.tables import worker_cache
+from textloom.llm.tables import text_slices, worker_cache
 
 SPACE = "▁"
 NORMAL, BYTE = 1, 6
@@ -263,8 +263,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared_model(model_path)
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                part = batch.slice(start, 2000)
+            for part in text_slices(batch):
                 ids, sizes = model.encode(part.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()),
                                                  pa.array(ids.astype(np.int32)))
@@ -288,8 +287,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared_model(model_path)
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                part = batch.slice(start, 2000)
+            for part in text_slices(batch):
                 lists = part.column("ids")
                 offsets = lists.offsets.to_numpy().astype(np.int64)
                 ids = lists.flatten().to_numpy().astype("<u4")

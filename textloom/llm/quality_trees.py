@@ -151,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
     sample = training_sample(docs, labels, sample_rows)
     fitted = (sample.select(measure("text").alias("x"), "quality").toPandas()
               .sort_values("quality", kind="stable"))
-    rows = np.array(fitted["x"].tolist(), dtype=np.float64).reshape(len(fitted), -1)
+    rows = np.array(fitted["x"].tolist(), dtype=np.float64).reshape(len(fitted), len(STATISTICS))
     order = np.lexsort(rows.T) if rows.size else np.zeros(0, dtype=int)
     return fit_trees(rows[order], fitted["quality"].to_numpy(dtype=np.float64)[order])
 

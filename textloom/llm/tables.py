@@ -49,6 +49,20 @@ def worker_cache(name: str, build: Callable[[], object]) -> object:
     return getattr(kept, name)
 
 
+def text_slices(batch: pa.RecordBatch, rows: int = 2000, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows and, but for a single longer one, ``size`` bytes of column ``text``."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, min(start + rows, int(np.searchsorted(ends, before + size, side="right"))))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def key_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Runs of rows with equal ``keys``, from batches sorted by them.
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.distinct_words import batch_words, gather
-from textloom.llm.tables import cores, stored, worker_cache
+from textloom.llm.tables import cores, stored, text_slices, worker_cache
 
 MAGIC = b"TLTOKEN1"
 HEADER = "<8s5Q"
@@ -173,8 +173,7 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, block_ids: int = BLOCK_ID
                 schema=schema)
 
         for batch in batches:
-            for start in range(0, batch.num_rows, 4000):
-                piece = batch.slice(start, 4000)
+            for piece in text_slices(batch, size=min(8_000_000, 4 * block_ids)):
                 part = piece.column("part")[0].as_py()
                 ids, sizes = encoder.encode(piece.column("text"))
                 ends = np.cumsum(sizes)
