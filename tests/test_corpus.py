@@ -73,7 +73,8 @@ def test_histogram_equals_numpy(spark, lengths):
 def test_report_line(spark):
     df = texts(spark, ["x" * n for n in (1000, 1000, 3000)])
     lines = [r.line for r in profile.length_report(prepare.profile(df, CorpusConfig())).orderBy("bin_idx").collect()]
-    assert lines[0] == "Length: 1,000 - 1,100, Counts: 2, Percentage: 66.666667%"
+    assert lines[0] == "Length distribution (total count: 3):"
+    assert lines[1] == "Length: 1,000 - 1,100, Counts: 2, Percentage: 66.666667%"
 
 
 def test_stage_profiles_equal_single_profiles(spark):
@@ -160,3 +161,21 @@ def test_user_functions_on_batches(spark):
 
     many = map_batches(df, letters, "letter string", remove_columns=["id", "text"])
     assert many.count() == 15
+
+
+@pytest.mark.parametrize("rows_per_arrow_batch, bytes_per_arrow_batch", [("10000", "268435456"), ("7", "268435456"), ("10000", "20000")])
+@pytest.mark.parametrize("size", [3_000, 20_000])
+def test_user_batches_are_full_whatever_arrives(spark, size, rows_per_arrow_batch, bytes_per_arrow_batch):
+    settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows_per_arrow_batch,
+                "spark.sql.execution.arrow.maxBytesPerBatch": bytes_per_arrow_batch}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(25_000).repartition(1)
+        got = map_batches(df, lambda batch: {"n": [len(batch["id"])]}, "n int", size, remove_columns=["id"])
+        sizes = [r.n for r in got.collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sizes == [size] * (25_000 // size) + [25_000 % size]

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from textloom.config import CorpusConfig
 from textloom.operators import chunk, encode, trace, word_stats
-from textloom.plans import jobs, prepare, tokenizer
+from textloom.plans import feed, jobs, prepare, tokenizer
 from textloom.plans.queries import char_model
-from textloom.sources import tables
+from textloom.sources import tables, workspace
 from textloom.streaming import arrivals
 
 
@@ -30,12 +30,21 @@ def test_best_epochs_are_strictly_better(spark):
     assert [r.epoch for r in trace.best_epochs(means).orderBy("epoch").collect()] == [0, 2, 4]
 
 
+def test_best_epochs_are_never_nan_or_infinite(spark):
+    nan, inf = math.nan, math.inf
+    for values, best in (([nan, 2.0, inf], [1]), ([inf, 2.0, nan, 1.0], [1, 3]), ([nan, nan], []), ([3.0, nan, inf, 3.0, 2.0], [0, 4]),
+                         ([-inf, 1.0], [0])):
+        means = spark.createDataFrame([(e, "valid", v) for e, v in enumerate(values)], "epoch int, split string, loss double")
+        assert [r.epoch for r in trace.best_epochs(means).orderBy("epoch").collect()] == best
+
+
 def test_history_pages(spark):
     means = trace.epoch_loss(losses(spark, [[float(i)] for i in range(5)]))
     page = trace.loss_history(means).first()
     assert page.losses == [0.0, 1.0, 2.0, 3.0, 4.0] and page.page == 0
     far = means.withColumn("epoch", F.col("epoch") + 998)
     assert [len(r.losses) for r in trace.loss_history(far).orderBy("page").collect()] == [2, 3]
+    assert [len(r.losses) for r in trace.loss_history(far, epochs_per_list=5_000).collect()] == [5]
 
 
 def test_sample_trace_in_epoch_order(spark):
@@ -44,13 +53,27 @@ def test_sample_trace_in_epoch_order(spark):
     assert {r.prompt: r.generated for r in trace.sample_trace(rows).collect()} == {"p": ["a", "b"], "q": ["c"]}
 
 
+def test_sample_trace_bounds_prompts_of_many_samples(spark):
+    rows = spark.createDataFrame([(1, "p", k // 4, f"{k:02d}") for k in range(23)],
+                                 "prompt_id bigint, prompt string, epoch int, generated string")
+    pages = [r.generated for r in trace.sample_trace(rows, samples_per_list=10).orderBy("page").collect()]
+    assert [len(p) for p in pages] == [10, 10, 3] and sum(pages, []) == [f"{k:02d}" for k in range(23)]
+
+
 def test_duration_and_report(spark):
     times = spark.sql("""select 4 as epoch, timestamp_ntz '2024-01-01 00:00:00' as ts
                          union all select 4, timestamp_ntz '2024-01-01 01:01:59.999'""")
     spent = trace.epoch_duration(times)
     assert spent.select("minutes", "seconds").first() == (61, 59)
-    means = spark.createDataFrame([(4, "train", 0.5), (4, "valid", 0.54555)], "epoch int, split string, loss double")
-    out = trace.epoch_report(means, spent, 50).first()
+    batches = spark.sql("""select 4 as epoch, 'train' as split, 0.25D as loss, timestamp_ntz '2024-01-01 00:00:00' as ts
+                           union all select 4, 'train', 0.75D, timestamp_ntz '2024-01-01 00:30:00'
+                           union all select 4, 'valid', 0.54555D, timestamp_ntz '2024-01-01 01:01:59.999'
+                           union all select 5, 'valid', 0.5D, null""")
+    report = trace.epoch_report(batches, 50).orderBy("epoch")
+    out, timeless = report.collect()
+    assert timeless.line.startswith("Epoch: 06/50, 0m 0s ::")
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
     assert out.line == (f"Epoch: 05/50, 61m 59s ::Train Loss: {0.5:<8.4f}, Train PPL: {math.exp(.5):<8.4f}"
                         f" | Valid Loss: {0.54555:<8.4f}, Valid PPL: {math.exp(.54555):<8.4f}")
     assert out.checkpoint == f"epoch-04-valid_loss-{0.54555:0>7.4f}.pt"
@@ -82,8 +105,9 @@ def test_streams_equal_batch(spark, shard_dir, tmp_path):
     assert sorted(spark.read.parquet(out).collect()) == sorted(expected.collect())
 
     counts = str(tmp_path / "counts")
-    arrivals.count_words_to(chunks(arriving), counts, str(tmp_path / "c2")).awaitTermination()
-    assert spark.read.parquet(counts).select("batch_id").distinct().count() == 5
+    arrivals.run_to_end(arrivals.count_words_to(chunks(arriving), counts, str(tmp_path / "c2"), triggers_per_base=2), 5)
+    assert workspace.names_in(spark, f"{counts}/changes") == ["batch_id=4"]     # five triggers, two in each base
+    assert workspace.names_in(spark, f"{counts}/base") == ["upto=3"]
     assert sorted(arrivals.latest_counts(spark, counts).collect()) == sorted(
         word_stats.word_counts(chunks(batch)).collect())
 
@@ -122,10 +146,52 @@ def test_from_sources_to_tokenized_shards(spark, shard_dir, tmp_path):
 
 def test_jobs_from_the_command_line(spark, shard_dir, tmp_path, capsys):
     work = str(tmp_path / "work")
-    jobs.main(["prepare", "--source", f"documents={shard_dir}", "--work", work, "--shard-rows", "40"])
-    assert "documents raw: Length: " in capsys.readouterr().out
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    (lines / "a.txt").write_text("\n".join(["short", "x" * 80, "y" * 100, "x" * 80]))
+    data = "/root/testdata/sf0.001"
+    jobs.main(["prepare", "--source", f"documents={shard_dir}?key=doc_id", "--source", f"unnamed={shard_dir}",
+               "--source", f"talks={data}/conversations.parquet?key=conv_id,turn",
+               "--source", f"benchmark={data}/benchmark.parquet?key=item_id", "--source", f"lines={lines}?format=text",
+               "--work", work, "--shard-rows", "40"])
+    printed = capsys.readouterr().out
+    assert "documents raw: Length distribution (total count: 200):\ndocuments raw: Length: " in printed
+    assert "lines: 4 rows, 0 without text; prepared: row_id, part_idx, text, 3 rows" in printed
+    splits = tables.read_splits(spark, f"{work}/splits")
+    assert {r.corpus for r in splits.select("corpus").distinct().collect()} == {
+        "documents", "unnamed", "talks", "benchmark", "lines"}
+    assert splits.select("corpus", "row_id", "part_idx").distinct().count() == splits.count()
     for _ in range(2):
         jobs.main(["tokenize", "--work", work, "--vocab-size", "100"])
     done = tables.read_splits(spark, f"{work}/tokenized")
-    assert done.count() == tables.read_splits(spark, f"{work}/splits").count()
+    assert done.count() == splits.count()
     assert spark.read.parquet(f"{work}/tokenizer/vocab").count() == 100
+
+    jobs.main(["feed", "--work", work, "--epoch", "2", "--world-size", "3", "--batch-size", "10"])
+    for split in ("train", "test"):
+        ids = [r.input_ids for r in done.filter(F.col("split") == split).collect()]
+        shares = [[row for b in feed.read_rank(spark, f"{work}/feed", 2, split, rank).collect() for row in b.rows]
+                  for rank in range(3)]
+        assert len({len(s) for s in shares}) == 1 and len(shares[0]) == math.ceil(len(ids) / 3)
+        dealt = sorted(map(tuple, sum(shares, [])))
+        assert set(dealt) == set(map(tuple, ids)) and len(dealt) - len(ids) in (0, 1, 2)
+        sizes = [len(b.rows) for b in feed.read_rank(spark, f"{work}/feed", 2, split, 0).collect()]
+        assert all(n == 10 for n in sizes[:-1])
+
+
+def test_sources_need_a_name_and_a_path():
+    source = tables.Source.parse("a=/x/y?key=k,l&format=json&column=body")
+    assert source == tables.Source("a", "/x/y", "json", "body", ("k", "l"))
+    for wrong in ("a", "=x", "a=", "a=x?kye=b"):
+        with pytest.raises(ValueError):
+            tables.Source.parse(wrong)
+
+
+def test_ids_of_keyless_sources_hold(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("one\ntwo\ntwo\n")
+    source = tables.Source("a", str(tmp_path / "in"), "text", "value")
+    first = tables.keyed_texts(spark, source, str(tmp_path / "kept"))
+    rows = sorted(first.collect())
+    assert [r.text for r in rows] == ["one", "two", "two"] and len({r.row_id for r in rows}) == 3
+    assert rows == sorted(tables.keyed_texts(spark, source, str(tmp_path / "kept")).collect())

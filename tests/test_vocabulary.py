@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from textloom.config import SPECIAL_TOKENS, VocabularyConfig
 from textloom.functions import sequences as seq
 from textloom.operators import encode, word_stats
+from textloom.operators import learn as learn_module
 from textloom.operators.learn import PairRanking, Round, learn_bpe
 from textloom.operators.model import BpeModel
 from textloom.plans import tokenizer
@@ -261,3 +262,25 @@ def test_shifted_pairs(spark):
         seq.inputs(F.col("ids")).alias("i"), seq.targets(F.col("ids")).alias("t"),
         seq.valid_mask(F.col("ids")).alias("m"), seq.valid_length(F.col("ids")).alias("n")).first()
     assert (row.i, row.t, row.m, row.n) == ([2, 5, 6], [5, 6, 1], [True, True, True, False], 3)
+
+
+@pytest.mark.parametrize("words_per_file", [100_000, 40])
+def test_rounds_rewrite_changed_words_only(spark, monkeypatch, words_per_file):
+    """Merges equal those of plain learning with one file and with many; few words are rewritten."""
+    monkeypatch.setattr(learn_module, "_WORDS_PER_FILE", words_per_file)
+    rewritten = []
+    advance = learn_module._WordState.advance
+
+    def counted_advance(state, replacements, count_changes):
+        changes = advance(state, replacements, count_changes)
+        rewritten.append(state.changed.count())
+        return changes
+
+    monkeypatch.setattr(learn_module._WordState, "advance", counted_advance)
+    rng = random.Random(3)
+    corpus = random_corpus(5, "abcdefgh", n_words=400) + [" ".join(
+        "".join(rng.choices("stuvwxyz", k=6)) for _ in range(300))]
+    n_words = word_stats.word_counts(texts(spark, corpus)).count()
+    model = learn(spark, corpus, 130, rounds_per_table=4)
+    assert model.merges == one_at_a_time(corpus, 130).merges
+    assert len(rewritten) > 8 and sum(rewritten) < 0.6 * n_words * len(rewritten)

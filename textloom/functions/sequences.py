@@ -30,7 +30,7 @@ def valid_mask(ids: Column, pad_id: int = PAD_ID) -> Column:
 
 def valid_length(ids: Column, pad_id: int = PAD_ID) -> Column:
     """Number of positions that are not padding."""
-    return F.size(F.filter(ids, lambda i: i != pad_id))
+    return F.size(F.array_remove(ids, pad_id))
 
 
 def finish_sequence(prompt: Column, generated: Column, length: int,

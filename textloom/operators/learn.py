@@ -33,12 +33,7 @@ from textloom.sources.workspace import remove, scratch_path
 
 _MAX_PAIRS_PER_ROUND = 64
 _WORDS_PER_FILE = 100_000
-# One task per file, and few shuffle partitions.
-_ROUND_SETTINGS = {
-    "spark.sql.shuffle.partitions": "16",
-    "spark.sql.files.maxPartitionBytes": "4m",
-    "spark.sql.files.openCostInBytes": "4m",
-}
+_FILE_BYTES = "4m"          # a file of so many words is smaller
 _SEPARATOR = "\0"           # never a symbol
 _STATE_SCHEMA = "s string, cnt bigint"
 
@@ -139,6 +134,10 @@ def _count_changes(merged: DataFrame, merged_pairs: list[str], first_new: str,
     Expressions are written as SQL: a round is short, and the time to put a plan
     together counts. For the same reason the count limit is lowered to a power of two;
     most rounds then find their code compiled.
+
+    What comes back is bounded: the neighbours are in the ranking, and a new pair ``(x, ab)`` or
+    ``(ab, y)`` needs an old one ``(x, a)`` or ``(b, y)`` of at least its count, so there are at
+    most two new pairs for each merge and each old pair of that count.
     """
     limit = 1 << (lowest_count.bit_length() - 1)
     new = sql_text(first_new)
@@ -158,71 +157,100 @@ def _count_changes(merged: DataFrame, merged_pairs: list[str], first_new: str,
 
 
 class _WordState:
-    """Symbol strings with their counts: a written table, and merges since then.
+    """Symbol strings with their counts: a written table, and the words changed since then.
 
-    Rounds chain cached tables on the last written one; every few rounds the state
-    is written anew, which cuts the chain. Words of a single symbol have no pairs
-    left and go.
+    A word of the written table that holds no pair merged since then is as it was; which
+    these are is told from the word itself. The others are in a small cached table that
+    each round replaces: only they are merged, counted and rewritten. Every few
+    rounds both become a new written table, which cuts the lineage. Words of a single
+    symbol have no pairs left and go.
 
     Rounds run in a session of their own. What they shuffle is already summed per
-    task and filtered, so they need few shuffle partitions, however big the corpus.
+    task and filtered.
     """
 
     def __init__(self, states: DataFrame, n_words: int, rounds_per_table: int) -> None:
         self.spark = states.sparkSession
         self.files = max(math.ceil(n_words / _WORDS_PER_FILE), 1)
         self.round_session = self.spark.newSession()
-        for key, value in _ROUND_SETTINGS.items():
+        cores = self.spark.sparkContext.defaultParallelism
+        for key, value in _round_settings(self.files, cores).items():
             self.round_session.conf.set(key, value)
         self.rounds_per_table = rounds_per_table
+        self.merged_pairs: list[str] = []
         self.rounds = 0
         self.path: str | None = None
-        self.cached: DataFrame | None = None
-        self.table = states.repartition(self.files)
-        self._write_out()
+        self.base: DataFrame | None = None
+        self.changed: DataFrame | None = None
+        self._write_out(states.repartition(self.files))
 
-    def _write_out(self) -> None:
+    def _write_out(self, states: DataFrame) -> None:
         path = scratch_path(self.spark, "word-state")
-        self.table.write.parquet(path)
+        states.write.parquet(path)
         self.close()
         self.path = path
-        self.table = self.round_session.read.schema(_STATE_SCHEMA).parquet(path)
-        if self.files == 1:
-            # Known to be one partition, rounds need no shuffle.
-            self.table = self.table.coalesce(1)
+        self.base = self.round_session.read.schema(_STATE_SCHEMA).parquet(path)
+        self.merged_pairs = []
         self.rounds = 0
 
-    def _forget_cache(self) -> None:
-        if self.cached is not None:
-            self.cached.unpersist()
-            self.cached = None
+    def _unchanged(self) -> DataFrame:
+        return self.base.where(f"NOT ({_holds_any(self.merged_pairs)})") if self.merged_pairs else self.base
+
+    def _current(self) -> DataFrame:
+        if self.changed is None:
+            return self.base
+        words = self._unchanged().unionByName(self.changed.where("length(s) > 1").select("s", "cnt"))
+        return words.coalesce(self.files)
 
     def all_pairs(self) -> DataFrame:
         """Counts of all pairs, with the shuffle settings of the caller's session."""
         if self.rounds:
-            self._write_out()
+            self._write_out(self._current())
         return pair_counts(self.spark.read.schema(_STATE_SCHEMA).parquet(self.path))
 
     def advance(self, replacements: list[tuple[str, str]], count_changes) -> list[tuple[str, int]]:
-        """Apply merges; ``count_changes`` reads the words before and after."""
+        """Apply merges; ``count_changes`` reads the changed words before and after."""
         if self.rounds >= self.rounds_per_table:
-            self._write_out()
-        merged = self.table.selectExpr(
-            "s AS old", f"{merge_expression('s', replacements)} AS s", "cnt").persist()
+            self._write_out(self._current())
+        pairs = [pair for pair, _ in replacements]
+        words = self._unchanged().where(_holds_any(pairs))
+        if self.changed is not None:
+            words = words.unionByName(self.changed.where("length(s) > 1").select("s", "cnt"))
+        if self.files == 1:
+            # Known to be one partition, rounds need no shuffle.
+            words = words.coalesce(1)
+        merged = words.selectExpr("s AS old", f"{merge_expression('s', replacements)} AS s", "cnt").persist()
         changes = count_changes(merged)
-        self._forget_cache()
-        self.cached = merged
-        self.table = merged.filter("length(s) > 1").select("s", "cnt")
+        before, self.changed = self.changed, merged
+        if before is not None:
+            before.unpersist()
+        self.merged_pairs += pairs
         self.rounds += 1
         return changes
 
     def close(self) -> None:
-        self._forget_cache()
+        if self.changed is not None:
+            self.changed.unpersist()
+            self.changed = None
         if self.path is not None:
             remove(self.spark, self.path)
             self.path = None
 
 
+def _holds_any(pairs: list[str]) -> str:
+    """SQL: the word holds one of the pairs. Symbols never overlap, so this is a search in the string."""
+    return " OR ".join(f"instr(s, {sql_text(pair)}) > 0" for pair in pairs)
+
+
+def _round_settings(files: int, cores: int) -> dict[str, str]:
+    """One task per file of words; shuffles, of sums only, grow with the files beyond what the cores need."""
+    return {
+        "spark.sql.shuffle.partitions": str(max(1, min(files, cores), files // 64)),
+        "spark.sql.files.maxPartitionBytes": _FILE_BYTES,
+        "spark.sql.files.openCostInBytes": _FILE_BYTES,
+    }
+
+
 def learn_bpe(counted: DataFrame, config: VocabularyConfig) -> BpeModel:
     """Learn a vocabulary from word counts ``(word, cnt)``.
 

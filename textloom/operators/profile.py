@@ -79,12 +79,22 @@ def length_histogram(lengths: DataFrame, bins: int, by: Sequence[str] = ()) -> D
 
 
 def length_report(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One printable line per bin."""
+    """Printable lines: a headline with the number of texts (``bin_idx`` -1), then one per bin."""
+    headline = (histogram.groupBy(*by).agg(F.sum("cnt").alias("total")) if by
+                else histogram.agg(F.sum("cnt").alias("total")).where("total is not null"))
+    # The wording of the report.
+    title = F.concat(F.lit("Length distribution (total count: "), F.col("total").cast("string"), F.lit("):"))
     line = F.concat(
         F.lit("Length: "), grouped(F.col("lo")), F.lit(" - "), grouped(F.col("hi")),
         F.lit(", Counts: "), grouped(F.col("cnt")),
         F.lit(", Percentage: "), fixed(F.col("pct"), 6), F.lit("%"))
-    return histogram.select(*by, "bin_idx", line.alias("line"))
+    return (headline.select(*by, F.lit(-1).alias("bin_idx"), title.alias("line"))
+            .unionByName(histogram.select(*by, "bin_idx", line.alias("line"))))
+
+
+def null_texts(df: DataFrame, column: str = "text") -> DataFrame:
+    """Rows in all, and rows without a text, which the chunker drops."""
+    return df.agg(F.count("*").alias("n_rows"), F.count_if(F.col(column).isNull()).alias("null_texts"))
 
 
 def corpus_summary(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.formatting import fixed, left_aligned, zero_padded
 
-_EPOCHS_PER_LIST = 1_000
+EPOCHS_PER_LIST = 1_000
 
 
 def epoch_loss(trace: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -30,67 +30,89 @@ def with_perplexity(losses: DataFrame) -> DataFrame:
 def best_epochs(losses: DataFrame, by: Sequence[str] = (), split: str = "valid") -> DataFrame:
     """Epochs whose validation loss is below that of all earlier epochs of the run.
 
-    Works on the table of epoch losses, which has one row per run and epoch.
+    The loss to beat is infinite at first, so an epoch of NaN or infinite loss is never a best
+    one, nor does it count for later ones. Works on the table of epoch losses, which has one row per
+    run and epoch.
     """
     run = list(by) or [F.lit(0)]
     earlier = Window.partitionBy(*run).orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
-    best_before = F.min("loss").over(earlier)
-    return (losses.filter(F.col("split") == split).withColumn("best_before", best_before)
+    finite = losses.filter((F.col("split") == split) & ~F.isnan("loss") & (F.col("loss") < float("inf")))
+    return (finite.withColumn("best_before", F.min("loss").over(earlier))
             .filter(F.col("best_before").isNull() | (F.col("loss") < F.col("best_before")))
             .select(*by, "epoch", "loss"))
 
 
-def epoch_duration(timed: DataFrame, ts: str = "ts") -> DataFrame:
-    """Whole minutes and remaining whole seconds from the first to the last row of an epoch."""
+def _spent_parts(spent):
+    """Whole minutes and remaining whole seconds of an interval."""
     def part(unit: str):
-        return F.extract(F.lit(unit), F.col("spent")).cast("bigint")
+        return F.extract(F.lit(unit), spent).cast("bigint")
 
-    spent = timed.groupBy("epoch").agg((F.max(ts) - F.min(ts)).alias("spent"))
     minutes = part("DAY") * 1440 + part("HOUR") * 60 + part("MINUTE")
-    return spent.select("epoch", minutes.alias("minutes"), part("SECOND").alias("seconds"))
+    return minutes.alias("minutes"), part("SECOND").alias("seconds")
+
+
+def epoch_duration(timed: DataFrame, ts: str = "ts") -> DataFrame:
+    """Whole minutes and remaining whole seconds from the first to the last row of an epoch."""
+    spent = timed.groupBy("epoch").agg((F.max(ts) - F.min(ts)).alias("spent"))
+    return spent.select("epoch", *_spent_parts(F.col("spent")))
+
 
+def loss_history(losses: DataFrame, by: Sequence[str] = (), epochs_per_list: int = EPOCHS_PER_LIST) -> DataFrame:
+    """Losses of each split in epoch order, in lists of at most ``epochs_per_list`` epochs.
 
-def loss_history(losses: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Losses of each split in epoch order, in lists of at most 1,000 epochs."""
+    ``page`` numbers the lists of a split; a run of fewer epochs has page 0 only. The table of epoch
+    losses has one row per run, epoch and split, so this bounds a list.
+    """
     listed = F.sort_array(F.collect_list(F.struct("epoch", "loss")))
-    return (losses.groupBy(*by, "split", _page().alias("page")).agg(listed.alias("_rows"))
+    page = F.floor(F.col("epoch") / epochs_per_list)
+    return (losses.groupBy(*by, "split", page.alias("page")).agg(listed.alias("_rows"))
             .select(*by, "split", "page", F.transform("_rows", lambda r: r["loss"]).alias("losses")))
 
 
-def sample_trace(samples: DataFrame) -> DataFrame:
-    """Generated texts of each prompt in epoch order, in lists of at most 1,000 epochs.
+def sample_trace(samples: DataFrame, samples_per_list: int = EPOCHS_PER_LIST) -> DataFrame:
+    """Generated texts of each prompt in epoch order, in lists of at most ``samples_per_list`` texts.
 
-    The list number is part of the key, so no group grows with the length of a run.
+    Texts are numbered within their prompt (ties of an epoch by text), and the number cuts
+    the pages: a prompt may have any number of samples in an epoch, from several ranks
+    for instance. Spark's window sorts and spills; only a page is ever one list.
     """
-    listed = F.sort_array(F.collect_list(F.struct("epoch", "generated")))
-    return (samples.groupBy("prompt_id", "prompt", _page().alias("page")).agg(listed.alias("_rows"))
+    place = F.row_number().over(Window.partitionBy("prompt_id", "prompt").orderBy("epoch", "generated")) - 1
+    numbered = samples.withColumn("_at", place)
+    listed = F.sort_array(F.collect_list(F.struct("_at", "generated")))
+    return (numbered.groupBy("prompt_id", "prompt", F.floor(F.col("_at") / samples_per_list).alias("page"))
+            .agg(listed.alias("_rows"))
             .select("prompt_id", "prompt", "page",
                     F.transform("_rows", lambda r: r["generated"]).alias("generated")))
 
 
-def _page():
-    return F.floor(F.col("epoch") / _EPOCHS_PER_LIST)
-
-
 def _epoch_number(epoch, epochs: int):
     return zero_padded(epoch.cast("string"), len(str(epochs)))
 
 
-def epoch_report(losses: DataFrame, durations: DataFrame, epochs: int) -> DataFrame:
-    """One printable line per epoch, and the name of the checkpoint it would write."""
+def epoch_report(batches: DataFrame, epochs: int, ts: str = "ts", prefix: str = "") -> DataFrame:
+    """One printable line per epoch, and the name of the checkpoint it would write.
+
+    One aggregation over the batch losses ``(epoch, split, loss, ts)``. An epoch with one
+    batch lasts 0 seconds; one without times shows 0 too, and one without losses ``nan``.
+    """
     def loss_of(split: str):
-        return F.max(F.when(F.col("split") == split, F.col("loss")))
+        own = F.when(F.col("split") == split, F.col("loss"))
+        return F.sum(own) / F.count(own)
 
     def figure(value):
-        return left_aligned(fixed(value, 4), 8)
+        return left_aligned(F.coalesce(fixed(value, 4), F.lit("nan")), 8)
 
+    spent = F.max(ts) - F.min(ts)
+    wide = (batches.groupBy("epoch").agg(loss_of("train").alias("train_loss"), loss_of("valid").alias("valid_loss"),
+                                         spent.alias("spent"))
+            .select("epoch", "train_loss", "valid_loss", *_spent_parts(F.col("spent")))
+            .fillna(0, ["minutes", "seconds"]))
     train, valid = F.col("train_loss"), F.col("valid_loss")
     line = F.concat(
-        F.lit("Epoch: "), _epoch_number(F.col("epoch") + 1, epochs), F.lit(f"/{epochs}, "),
+        F.lit(prefix + "Epoch: "), _epoch_number(F.col("epoch") + 1, epochs), F.lit(f"/{epochs}, "),
         F.col("minutes").cast("string"), F.lit("m "), F.col("seconds").cast("string"), F.lit("s ::"),
         F.lit("Train Loss: "), figure(train), F.lit(", Train PPL: "), figure(F.exp(train)),
         F.lit(" | Valid Loss: "), figure(valid), F.lit(", Valid PPL: "), figure(F.exp(valid)))
     checkpoint = F.concat(F.lit("epoch-"), _epoch_number(F.col("epoch"), epochs), F.lit("-valid_loss-"),
-                          zero_padded(fixed(valid, 4), 7), F.lit(".pt"))
-    wide = losses.groupBy("epoch").agg(loss_of("train").alias("train_loss"), loss_of("valid").alias("valid_loss"))
-    return wide.join(durations, "epoch").select("epoch", line.alias("line"), checkpoint.alias("checkpoint"))
+                          zero_padded(F.coalesce(fixed(valid, 4), F.lit("nan")), 7), F.lit(".pt"))
+    return wide.select("epoch", line.alias("line"), checkpoint.alias("checkpoint"))

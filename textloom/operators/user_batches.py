@@ -23,12 +23,15 @@ def _as_schema(schema: T.StructType | str) -> T.StructType:
 def map_batches(df: DataFrame, function: BatchFunction, schema: T.StructType | str,
                 batch_size: int = 10_000, fn_kwargs: Mapping | None = None,
                 remove_columns: list[str] | None = None) -> DataFrame:
-    """Apply ``function`` to batches of at most ``batch_size`` rows.
+    """Apply ``function`` to batches of ``batch_size`` rows.
 
-    ``schema`` describes the columns that the function returns. Columns that are
-    neither in it nor in ``remove_columns`` stay; all must be removed if the number
-    of rows changes.
+    Rows are carried over from one Arrow batch to the next: whatever the session's
+    limits for those, only the last batch of a partition may be shorter. ``schema``
+    describes the columns that the function returns. Columns that are neither in it nor in
+    ``remove_columns`` stay; all must be removed if the number of rows changes.
     """
+    if batch_size < 1:
+        raise ValueError("batch_size must be positive")
     produced = _as_schema(schema)
     removed = set(remove_columns or ()) | set(produced.fieldNames())
     kept = [field for field in df.schema.fields if field.name not in removed]
@@ -37,13 +40,26 @@ def map_batches(df: DataFrame, function: BatchFunction, schema: T.StructType | s
     kept_names = [field.name for field in kept]
     kwargs = dict(fn_kwargs or {})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def full_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        held: list[pa.RecordBatch] = []
+        missing = batch_size
         for batch in batches:
-            for start in range(0, batch.num_rows, batch_size):
-                part = batch.slice(start, batch_size)
-                columns = part.to_pydict()
-                result = function(columns, **kwargs)
-                values = {**{name: columns[name] for name in kept_names}, **result}
-                yield pa.RecordBatch.from_pydict(values, schema=arrow_schema)
+            while batch.num_rows:
+                part = batch.slice(0, missing)
+                batch = batch.slice(part.num_rows)
+                held.append(part)
+                missing -= part.num_rows
+                if missing == 0:
+                    yield pa.Table.from_batches(held)
+                    held, missing = [], batch_size
+        if held:
+            yield pa.Table.from_batches(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in full_batches(batches):
+            columns = part.to_pydict()
+            result = function(columns, **kwargs)
+            values = {**{name: columns[name] for name in kept_names}, **result}
+            yield pa.RecordBatch.from_pydict(values, schema=arrow_schema)
 
     return df.mapInArrow(run, out_schema)

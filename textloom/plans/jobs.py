@@ -2,10 +2,12 @@
 
     spark-submit -m textloom.plans.jobs prepare --source NAME=PATH [--source ...] --work DIR
     spark-submit -m textloom.plans.jobs tokenize --work DIR
+    spark-submit -m textloom.plans.jobs feed --work DIR --epoch N --world-size W
 
 ``prepare`` brings each source to the length range, prints length profiles, combines
 the sources and writes train and test shards. ``tokenize`` learns the vocabulary from
-the shards and writes the tokenized shards. Finished parts are reused.
+the shards and writes the tokenized shards. ``feed`` writes the batches of each split and
+rank for one epoch. Finished parts are reused.
 """
 
 from __future__ import annotations
@@ -14,26 +16,27 @@ import argparse
 from dataclasses import replace
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from textloom import session
-from textloom.config import CorpusConfig, VocabularyConfig
-from textloom.operators.profile import length_report
-from textloom.plans import prepare, tokenizer
-from textloom.sources.tables import read_corpus
+from textloom.config import CorpusConfig, FeedConfig, VocabularyConfig
+from textloom.operators.profile import corpus_summary, length_report, null_texts
+from textloom.plans import feed, prepare, tokenizer
+from textloom.sources.tables import Source, keyed_texts
 from textloom.sources.workspace import is_complete
 
 
-def prepare_job(spark: SparkSession, sources: dict[str, str], work: str, key: str, column: str,
-                fmt: str, config: CorpusConfig) -> None:
-    texts = {name: read_corpus(spark, path, fmt).select(F.col(key).alias("row_id"), F.col(column).alias("text"))
-             for name, path in sources.items()}
+def prepare_job(spark: SparkSession, sources: list[Source], work: str, config: CorpusConfig) -> None:
+    texts = {source.name: keyed_texts(spark, source, f"{work}/copied/{source.name}") for source in sources}
     prepared = {name: prepare.prepare_source(df, ["row_id"], f"{work}/prepared/{name}", config)
                 for name, df in texts.items()}
     histogram = prepare.profile_stages(texts, config)
     reports = length_report(histogram, by=("stage",)).orderBy("stage", "bin_idx")
     for row in reports.collect():
         print(f"{row.stage}: {row.line}")
+    for name, df in texts.items():
+        counted, summary = null_texts(df).first(), corpus_summary(prepared[name]).first()
+        print(f"{name}: {counted.n_rows} rows, {counted.null_texts} without text; "
+              f"prepared: {summary.features}, {summary.num_rows} rows")
     prepare.combine_sources(spark, prepared, ["row_id"], f"{work}/splits", config)
 
 
@@ -43,30 +46,38 @@ def tokenize_job(spark: SparkSession, work: str, corpus: CorpusConfig, vocabular
         tokenizer.tokenize_splits(spark, f"{work}/splits", f"{work}/tokenized", model, corpus)
 
 
+def feed_job(spark: SparkSession, work: str, epoch: int, world_size: int, corpus: CorpusConfig,
+             config: FeedConfig) -> None:
+    feed.write_epoch(spark, f"{work}/tokenized", f"{work}/feed", epoch, world_size, corpus, config)
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     jobs = parser.add_subparsers(dest="job", required=True)
     first = jobs.add_parser("prepare")
-    first.add_argument("--source", action="append", required=True, metavar="NAME=PATH")
-    first.add_argument("--key", default="doc_id", help="unique key column of the sources")
-    first.add_argument("--column", default="text")
-    first.add_argument("--format", default="parquet")
+    first.add_argument("--source", action="append", required=True, type=Source.parse,
+                       metavar="NAME=PATH[?key=A,B&column=C&format=F]")
     first.add_argument("--shard-rows", type=int, default=CorpusConfig.shard_rows)
     second = jobs.add_parser("tokenize")
     second.add_argument("--vocab-size", type=int, default=VocabularyConfig.vocab_size)
     second.add_argument("--min-frequency", type=int, default=VocabularyConfig.min_frequency)
-    for job in (first, second):
+    third = jobs.add_parser("feed")
+    third.add_argument("--epoch", type=int, default=0)
+    third.add_argument("--world-size", type=int, default=1)
+    third.add_argument("--batch-size", type=int, default=FeedConfig.batch_size)
+    for job in (first, second, third):
         job.add_argument("--work", required=True, metavar="DIR")
     given = parser.parse_args(arguments)
 
     spark = session.builder().getOrCreate()
     if given.job == "prepare":
-        sources = dict(item.split("=", 1) for item in given.source)
-        config = replace(CorpusConfig(), shard_rows=given.shard_rows)
-        prepare_job(spark, sources, given.work, given.key, given.column, given.format, config)
-    else:
+        prepare_job(spark, given.source, given.work, replace(CorpusConfig(), shard_rows=given.shard_rows))
+    elif given.job == "tokenize":
         vocabulary = replace(VocabularyConfig(), vocab_size=given.vocab_size, min_frequency=given.min_frequency)
         tokenize_job(spark, given.work, CorpusConfig(), vocabulary)
+    else:
+        feed_job(spark, given.work, given.epoch, given.world_size, CorpusConfig(),
+                 replace(FeedConfig(), batch_size=given.batch_size))
 
 
 if __name__ == "__main__":

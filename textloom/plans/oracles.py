@@ -256,9 +256,11 @@ _add("length_bin_edges", f"""select unnest(range({BINS + 1}))::integer as edge_i
      _lengths("documents"), _histogram("lengths"))
 _add("length_histogram", "select bin_idx, lo, hi, cnt, pct from histogram",
      CHUNKS, _lengths("chunks"), _histogram("lengths"))
-_add("length_report", """select bin_idx, 'Length: ' || format('{:,}', lo) || ' - ' || format('{:,}', hi)
+_add("length_report", """select -1 as bin_idx, 'Length distribution (total count: ' || sum(cnt)::bigint || '):' as line
+from histogram union all select bin_idx, 'Length: ' || format('{:,}', lo) || ' - ' || format('{:,}', hi)
   || ', Counts: ' || format('{:,}', cnt) || ', Percentage: ' || format('{:.6f}', pct) || '%' as line
 from histogram""", _lengths("documents"), _histogram("lengths"))
+_add("null_texts", "select count(*) as n_rows, count(*) filter (where text is null) as null_texts from documents")
 _add("corpus_summary", "select 'doc_id, text, lang, source, n_chars' as features, count(*) as num_rows from documents")
 _add("stage_profile", "select stage, bin_idx, lo, hi, cnt, pct from histogram",
      CORPORA, _chunked("combined", "corpora", "corpus, row_id"), """staged as (
@@ -322,7 +324,7 @@ _add("tokenize_corpus", f"select doc_id, part_idx, {_text(_MARKED)} as input_ids
 _add("tokenize_chars", f"select doc_id, part_idx, {_text(_MARKED)} as input_ids from encoded",
      *_learned(0), _encoded(0, "words", "doc_id, part_idx", "chunks"))
 _add("encode_prompts", f"select conv_id, turn, {_text('[2::bigint] || ids')} as ids from encoded",
-     "prompts as (select * from conversations where role = 'user')",
+     "prompts as (select * from conversations)",
      _words("prompt_words", "prompts", "conv_id, turn"),
      *_learned(LEARNED_MERGES, """select distinct word, 0 from prompt_words
                                   where word not in (select word from counted)"""),
@@ -346,6 +348,18 @@ from ordered join coded using (doc_id, part_idx) group by 1""", CHUNKS, ORDERED,
 _add("rank_batches", f"""select rank::integer as rank, rank_pos // {FEED.batch_size} as batch_id,
   string_agg(doc_id || ':' || part_idx, ' ' order by rank_pos) as rows
 from ranked group by 1, 2""", CHUNKS, HASHED, RANKED)
+_FED = f"""fed as (
+  select split, doc_id, part_idx, {_text(_MARKED)} as ids, md5('{CORPUS.seed}:{EPOCH}:' || doc_id || ':' || part_idx) as eh,
+         count(*) over (partition by split) as n
+  from encoded join labelled using (doc_id, part_idx))"""
+_add("feed_batches", f"""select split, pos // {FEED.batch_size} as batch_id, string_agg(ids, '|' order by pos) as rows
+from (select *, row_number() over (partition by split order by doc_id, part_idx) - 1 as pos from fed)
+group by 1, 2""", *ENCODED, HASHED, SPLIT, _FED)
+_add("feed_rank_batches", f"""select split, (slot % {WORLD_SIZE})::integer as rank,
+  slot // {WORLD_SIZE} // {FEED.batch_size} as batch_id, string_agg(ids, '|' order by slot // {WORLD_SIZE}) as rows
+from (select *, unnest(range(pos, (ceil(n / {WORLD_SIZE}) * {WORLD_SIZE})::bigint, n)) as slot
+      from (select *, row_number() over (partition by split order by eh, doc_id, part_idx) - 1 as pos from fed))
+group by 1, 2, 3""", *ENCODED, HASHED, SPLIT, _FED)
 _add("finish_sequences", f"""select doc_id, {_text(f'''ids[1:{PROMPT_CHARS}] || {_fitted(
     f"(case when stop > 0 then generated[1:stop - 1] else generated end)[1:{LENGTH - PROMPT_CHARS - 1}]"
 )}[1:{LENGTH} - len(ids[1:{PROMPT_CHARS}])]''')} as ids
@@ -361,15 +375,17 @@ _add("epoch_perplexity", "select epoch, split, round(loss, 6) as loss, round(exp
      TRACE)
 _add("best_epochs", """select epoch, round(loss, 6) as loss from (
   select *, min(loss) over (order by epoch rows between unbounded preceding and 1 preceding) as before
-  from losses where split = 'valid')
+  from losses where split = 'valid' and not isnan(loss) and loss < 'inf'::double)
 where before is null or loss < before""", TRACE)
 _add("epoch_duration", "select epoch, minutes, seconds from durations", TRACE)
 _add("loss_history", """select split, (epoch // 1000)::bigint as page,
   string_agg(printf('%.6f', round(loss, 6)), ' ' order by epoch) as losses from losses group by 1, 2""", TRACE)
-_add("sample_trace", """select s.conv_id as prompt_id, p.text as prompt, s.turn // 1000 as page,
-  string_agg(s.text, chr(10) || '--' || chr(10) order by s.turn) as generated
-from conversations s join conversations p on p.conv_id = s.conv_id and p.turn = 0
-where s.role = 'assistant' group by 1, 2, 3""")
+_add("sample_trace", """select conv_id as prompt_id, prompt, at // 1000 as page,
+  string_agg(text, chr(10) || '--' || chr(10) order by at) as generated
+from (select s.conv_id, p.text as prompt, s.text,
+             row_number() over (partition by s.conv_id, p.text order by s.turn, s.text) - 1 as at
+      from conversations s join conversations p on p.conv_id = s.conv_id and p.turn = 0
+      where s.role = 'assistant') group by 1, 2, 3""")
 _add("epoch_report", f"""select epoch,
   'Epoch: ' || lpad((epoch + 1)::varchar, 2, '0') || '/{FEED.epochs}, ' || minutes || 'm ' || seconds || 's ::'
   || 'Train Loss: ' || printf('%-8.4f', t) || ', Train PPL: ' || printf('%-8.4f', exp(t))

@@ -21,18 +21,21 @@ from textloom.operators import arrange, chunk, combine, encode, positions, profi
 from textloom.operators import user_batches
 from textloom.operators import word_stats as ws
 from textloom.operators.model import BpeModel
-from textloom.plans import prepare, tokenizer
+from textloom.plans import feed, prepare, tokenizer
 from textloom.sources import tables, workspace
 from textloom.streaming import arrivals
 
 CORPUS = CorpusConfig()
 FEED = FeedConfig()
 KEYS = ["doc_id", "part_idx"]
-LEARNED_MERGES = 40
+LEARNED_MERGES = 120
 SHARD_ROWS = 300
 WORLD_SIZE = 4
 EPOCH = 3
 PROMPT_CHARS = 8
+ARRIVING_FILES = 3
+SHARD_FILES_PER_TRIGGER = 8
+MIN_TRIGGERS = 2
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,8 +90,9 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _place(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Where this application keeps a result for an input directory."""
-    return f"{workspace.scratch_root(spark)}/results/{zlib.crc32(sf_dir.encode()):08x}/{name}"
+    """Where this application keeps a result for an input directory, as its files are now."""
+    state = workspace.files_state(spark, f"{sf_dir}/documents.parquet")
+    return f"{workspace.scratch_root(spark)}/results/{zlib.crc32(f'{sf_dir} {state}'.encode()):08x}/{name}"
 
 
 def chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +109,7 @@ def shard_root(spark: SparkSession, sf_dir: str) -> str:
 
 
 def model(spark: SparkSession, sf_dir: str) -> BpeModel:
-    """The tokenizer of the chunks with 40 merges, learned once."""
+    """The tokenizer of the chunks, learned once."""
     path = _place(spark, sf_dir, "tokenizer")
     if workspace.is_complete(spark, f"{path}/vocab"):
         return BpeModel.load(spark, path)
@@ -206,10 +210,17 @@ def tokenizer_roundtrip(spark, sf_dir):
     return BpeModel.load(spark, path).merges_table(spark)
 
 
+def tokenized_root(spark: SparkSession, sf_dir: str) -> str:
+    """The tokenized shards, written once."""
+    target = _place(spark, sf_dir, "tokenized")
+    if not workspace.is_complete(spark, target):
+        tokenizer.tokenize_splits(spark, shard_root(spark, sf_dir), target, model(spark, sf_dir), CORPUS)
+    return target
+
+
 @query
 def tokenized_write(spark, sf_dir):
-    target = _place(spark, sf_dir, "tokenized")
-    tokenizer.tokenize_splits(spark, shard_root(spark, sf_dir), target, model(spark, sf_dir), CORPUS)
+    target = tokenized_root(spark, sf_dir)
     return tables.read_splits(spark, target).select(
         "split", F.col("shard_id").cast("bigint").alias("shard_id"), as_text(F.col("input_ids")).alias("input_ids"))
 
@@ -313,6 +324,11 @@ def length_report(spark, sf_dir):
     return profile.length_report(prepare.profile(documents(spark, sf_dir), CORPUS))
 
 
+@query
+def null_texts(spark, sf_dir):
+    return profile.null_texts(documents(spark, sf_dir))
+
+
 @query
 def corpus_summary(spark, sf_dir):
     return profile.corpus_summary(table(spark, sf_dir, "documents"))
@@ -506,7 +522,7 @@ def tokenize_chars(spark, sf_dir):
 @query
 def encode_prompts(spark, sf_dir):
     """Prompts from other texts than the vocabulary: unseen words, unknown characters."""
-    prompts = table(spark, sf_dir, "conversations").filter("role = 'user'")
+    prompts = table(spark, sf_dir, "conversations")
     return prompts.select("conv_id", "turn", as_text(
         encode.prompt_ids(F.col("text"), model(spark, sf_dir))).alias("ids"))
 
@@ -542,10 +558,11 @@ def token_pairs_flat(spark, sf_dir):
 @query
 def loss_token_counts(spark, sf_dir):
     """Positions per batch whose target is not padding."""
-    placed = arrange.assign_batches(positions.key_positions(chunk_table(spark, sf_dir), KEYS), FEED.batch_size)
-    coded = placed.select("batch_id", code_ids(F.col("text")).alias("input_ids"))
     counted = seq.valid_length(seq.targets(F.col("input_ids")), PAD_ID)
-    return coded.groupBy("batch_id").agg(F.sum(counted).alias("loss_tokens"))
+    narrow = (chunk_table(spark, sf_dir).select(*KEYS, code_ids(F.col("text")).alias("input_ids"))
+              .select(*KEYS, counted.alias("counted")))
+    placed = arrange.assign_batches(positions.key_positions(narrow, KEYS), FEED.batch_size)
+    return placed.groupBy("batch_id").agg(F.sum("counted").alias("loss_tokens"))
 
 
 @query
@@ -558,9 +575,8 @@ def valid_lengths(spark, sf_dir):
 
 @query
 def batch_matrix(spark, sf_dir):
-    placed = arrange.assign_batches(positions.key_positions(chunk_table(spark, sf_dir), KEYS), FEED.batch_size)
-    coded = placed.withColumn("input_ids", code_ids(F.col("text")))
-    return arrange.batch_matrix(coded).select(
+    placed = arrange.assign_batches(positions.key_positions(coded_chunks(spark, sf_dir), KEYS), FEED.batch_size)
+    return arrange.batch_matrix(placed).select(
         "batch_id", F.array_join(F.transform("rows", as_text), "|").alias("rows"))
 
 
@@ -573,6 +589,27 @@ def rank_batches(spark, sf_dir):
         "rank", "batch_id", F.array_join("rows", " ").alias("rows"))
 
 
+def _fed(spark: SparkSession, sf_dir: str, arranged: Callable[[DataFrame, list[str]], DataFrame]) -> DataFrame:
+    """Both splits of the tokenized shards, arranged, with the name of the split."""
+    root = tokenized_root(spark, sf_dir)
+    fed = [arranged(*feed.tokenized_split(spark, root, split)).withColumn("split", F.lit(split))
+           for split in ("train", "test")]
+    return fed[0].unionByName(fed[1]).withColumn("rows", F.array_join(F.transform("rows", as_text), "|"))
+
+
+@query
+def feed_batches(spark, sf_dir):
+    """Batches of learned ids in key order, per split."""
+    return _fed(spark, sf_dir, lambda rows, keys: feed.batches(rows, keys, FEED.batch_size))
+
+
+@query
+def feed_rank_batches(spark, sf_dir):
+    """Batches of learned ids of each rank in one epoch, per split."""
+    return _fed(spark, sf_dir, lambda rows, keys: feed.rank_batches(
+        rows, keys, CORPUS.seed, EPOCH, WORLD_SIZE, FEED.batch_size))
+
+
 @query
 def finish_sequences(spark, sf_dir):
     """The first characters as prompt, the rest as generated; a full stop ends it."""
@@ -625,39 +662,49 @@ def sample_trace(spark, sf_dir):
 
 @query
 def epoch_report(spark, sf_dir):
-    rows = losses(spark, sf_dir)
-    return trace.epoch_report(trace.epoch_loss(rows), trace.epoch_duration(rows), FEED.epochs)
+    return trace.epoch_report(losses(spark, sf_dir), FEED.epochs)
 
 
 # Streams --------------------------------------------------------------------------------------------
 
-def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir}/documents.parquet"
-    return arrivals.arriving_shards(spark, path, table(spark, sf_dir, "documents").schema)
+def _arriving_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files that arrive one by one, a trigger for each."""
+    root = _place(spark, sf_dir, "arriving-documents")
+    if not workspace.is_complete(spark, root):
+        documents(spark, sf_dir).repartition(ARRIVING_FILES).write.mode("overwrite").parquet(root)
+    return arrivals.arriving_shards(spark, root, "doc_id bigint, text string", files_per_trigger=1)
+
+
+def _arriving_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written shards, a few files a trigger."""
+    root = shard_root(spark, sf_dir)
+    schema = spark.read.parquet(root).schema
+    return arrivals.arriving_shards(spark, root, schema, files_per_trigger=SHARD_FILES_PER_TRIGGER)
 
 
 @query
 def stream_chunk(spark, sf_dir):
-    arrived = chunk.split_long_texts(_arriving(spark, sf_dir), ["doc_id"], CORPUS.min_chars, CORPUS.max_chars)
+    arrived = chunk.split_long_texts(_arriving_texts(spark, sf_dir), ["doc_id"], CORPUS.min_chars, CORPUS.max_chars)
     path = workspace.scratch_path(spark, "stream-chunk")
-    arrivals.append_to(arrived, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+    arrivals.run_to_end(arrivals.append_to(arrived, f"{path}/rows", f"{path}/checkpoint"), MIN_TRIGGERS)
     return spark.read.parquet(f"{path}/rows")
 
 
 @query
 def stream_tokenize(spark, sf_dir):
-    arrived = chunk.split_long_texts(_arriving(spark, sf_dir), ["doc_id"], CORPUS.min_chars, CORPUS.max_chars)
+    arrived = _arriving_shards(spark, sf_dir)
     tokenized = encode.tokenize_corpus(arrived, model(spark, sf_dir), CORPUS.max_length, keys=tuple(KEYS))
     path = workspace.scratch_path(spark, "stream-tokenize")
-    arrivals.append_to(tokenized, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+    arrivals.run_to_end(arrivals.append_to(tokenized, f"{path}/rows", f"{path}/checkpoint"), MIN_TRIGGERS)
     return spark.read.parquet(f"{path}/rows").select(*KEYS, as_text(F.col("input_ids")).alias("input_ids"))
 
 
 @query
 def stream_word_counts(spark, sf_dir):
-    arrived = chunk.split_long_texts(_arriving(spark, sf_dir), ["doc_id"], CORPUS.min_chars, CORPUS.max_chars)
+    arrived = chunk.split_long_texts(_arriving_texts(spark, sf_dir), ["doc_id"], CORPUS.min_chars, CORPUS.max_chars)
     path = workspace.scratch_path(spark, "stream-words")
-    arrivals.count_words_to(arrived, f"{path}/counts", f"{path}/checkpoint").awaitTermination()
+    arrivals.run_to_end(arrivals.count_words_to(arrived, f"{path}/counts", f"{path}/checkpoint",
+                                                triggers_per_base=2), MIN_TRIGGERS)
     return arrivals.latest_counts(spark, f"{path}/counts")
 
 

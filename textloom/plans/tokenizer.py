@@ -46,11 +46,13 @@ def learn_from_splits(spark: SparkSession, root: str, path: str, config: Vocabul
 
 def tokenize_splits(spark: SparkSession, root: str, target: str, model: BpeModel,
                     config: CorpusConfig) -> None:
-    """Tokenize all shards in one job; the target has the same splits and shards.
+    """Tokenize all shards in one job; the target has the same splits, shards and row keys.
 
-    Encoding is narrow and shards are partition directories, so nothing is shuffled.
+    Encoding is narrow and shards are partition directories, so nothing is shuffled. The
+    keys are what :mod:`textloom.plans.feed` orders the rows by.
     """
     texts = read_splits(spark, root)
-    keys = tuple(name for name in (SPLIT, SHARD) if name in texts.columns)
+    keys = tuple(name for name in texts.columns if name != "text")
+    directories = [name for name in (SPLIT, SHARD) if name in keys]
     (tokenize_corpus(texts, model, config.max_length, keys=keys)
-     .write.mode("overwrite").partitionBy(*keys).parquet(target))
+     .write.mode("overwrite").partitionBy(*directories).parquet(target))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.sources.workspace import materialize
+
 SPLIT = "split"
 SHARD = "shard_id"
 
@@ -19,6 +24,54 @@ def read_corpus(spark: SparkSession, path: str | list[str], fmt: str = "parquet"
     return reader.load(path)
 
 
+@dataclass(frozen=True)
+class Source:
+    """A source of texts: where it lies, which column has the texts, and which columns name a row.
+
+    Without key columns rows are named by where they stand, see :func:`keyed_texts`.
+    """
+
+    name: str
+    path: str
+    fmt: str = "parquet"
+    column: str = "text"
+    keys: tuple[str, ...] = ()
+
+    @classmethod
+    def parse(cls, given: str) -> Source:
+        """``NAME=PATH``, then options: ``NAME=PATH?key=conv_id,turn&column=text&format=json``."""
+        name, _, rest = given.partition("=")
+        path, _, query = rest.partition("?")
+        options = {k: v for k, _, v in (item.partition("=") for item in query.split("&") if item)}
+        if not name or not path or set(options) - {"key", "column", "format"}:
+            raise ValueError(f"not a source: {given}")
+        fmt = options.get("format", "parquet")
+        keys = tuple(k for k in options.get("key", "").split(",") if k)
+        return cls(name, path, fmt, options.get("column", "value" if fmt == "text" else "text"), keys)
+
+
+def row_key(keys: Sequence[str]) -> Column:
+    """One text that names a row: the key itself, or a JSON list of several."""
+    parts = [F.col(k).cast("string") for k in keys]
+    return parts[0] if len(parts) == 1 else F.to_json(F.array(*parts))
+
+
+def keyed_texts(spark: SparkSession, source: Source, kept_at: str) -> DataFrame:
+    """``(row_id string, text)`` of a source, with an id that stays the same in every run.
+
+    With key columns, the id is made of them. A Parquet source without key is numbered by
+    file and row. Any other source without key is first written to ``kept_at`` as
+    Parquet, once, and numbered from there: its ids hold as long as that copy does.
+    """
+    df = read_corpus(spark, source.path, source.fmt)
+    if source.keys:
+        return df.select(row_key(source.keys).alias("row_id"), F.col(source.column).alias("text"))
+    if source.fmt != "parquet":
+        df = materialize(spark, kept_at, lambda: df.select(source.column))
+    place = F.concat_ws(":", F.element_at(F.split("_metadata.file_path", "/"), -1), "_metadata.row_index")
+    return df.select(place.alias("row_id"), F.col(source.column).alias("text"))
+
+
 def read_shard(spark: SparkSession, path: str) -> DataFrame:
     """One shard, a file or a directory, without its split and shard columns."""
     return spark.read.parquet(path)

@@ -20,7 +20,8 @@ def scratch_root(spark: SparkSession) -> str:
     app_id = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None) or _local_roots.get(app_id)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = _local_roots[app_id] = tempfile.mkdtemp(prefix="textloom-")
     return f"{root.rstrip('/')}/textloom/{app_id}"
@@ -44,6 +45,18 @@ def _filesystem(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and directories in a directory; none if there is no such directory."""
+    fs, target = _filesystem(spark, path)
+    return sorted(status.getPath().getName() for status in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def files_state(spark: SparkSession, path: str) -> str:
+    """Name, size and time of the file, or of the files in the directory, at ``path``."""
+    fs, target = _filesystem(spark, path)
+    return " ".join(sorted(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in fs.listStatus(target)))
+
+
 def is_directory(spark: SparkSession, path: str) -> bool:
     fs, target = _filesystem(spark, path)
     return fs.exists(target) and fs.getFileStatus(target).isDirectory()
@@ -55,10 +68,10 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return fs.exists(marker)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate table of this application."""
-    if not path.startswith(scratch_root(spark)):
-        raise ValueError(f"{path} is not below the scratch folder")
+def remove(spark: SparkSession, path: str, below: str | None = None) -> None:
+    """Delete an intermediate table of this application, or one ``below`` a folder of the caller's."""
+    if not path.startswith((below or scratch_root(spark)).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not below the folder")
     fs, target = _filesystem(spark, path)
     fs.delete(target, True)
 
