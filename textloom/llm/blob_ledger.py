@@ -117,7 +117,8 @@ class Ledger:
 
     def _read(self, name: str, schema: str) -> DataFrame:
         if not workspace.is_complete(self.spark, f"{self.path}/{name}"):
-            return self.spark.createDataFrame([], schema)
+            columns = (column.split() for column in schema.split(", "))
+            return self.spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in columns])
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
     def scanned(self) -> DataFrame:

@@ -12,15 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 from textloom.sources import workspace
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` as a Parquet table in the shared folder; cuts the lineage.
 
     Later reads prune columns, see the same rows after a lost executor, and join on
-    plain shuffles, which Spark can split where one key is frequent.
+    plain shuffles, which Spark can split where one key is frequent. What was shuffled for
+    the table is of no more use once it is written; Spark is told to remove it then.
     """
-    path = workspace.scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = workspace.scratch_path(spark, f"llm-{name}")
+    before = spark.conf.get(_SHUFFLE_CLEANUP, "false")
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(_SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(table: DataFrame) -> None:

@@ -36,7 +36,7 @@ BLOCK_IDS = 4_000_000
 ROWS_PER_TASK = 20_000
 NULL_ID = -(1 << 63)
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 1_500_000
+KEPT_WORDS = 700_000
 # What the tokenizer's pattern takes for white space.
 WHITE = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -301,7 +301,7 @@ def write_documents(docs: DataFrame, tokenizer_path: str, path: str, block_ids:
     their text. Null and empty texts have the end id only. Other columns are ignored; an
     empty table writes no file.
     """
-    blocks = stored(token_blocks(docs, tokenizer_path, block_ids), "blocks")
+    blocks = stored(token_blocks(docs, tokenizer_path, block_ids), "blocks", compression="zstd")
     ranked = ranked_ids(blocks)
     write_files(blocks, ranked, path)
     return ranked
