@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from textloom.llm.distinct_words import batch_words
 from textloom.llm.tables import text_slices, worker_cache
-from textloom.llm.token_files import KEPT_WORDS, WHITE
+from textloom.llm.token_files import WHITE
 
 LEAF_WORDS = 32
+#: Pre-tokens whose counts a worker keeps.
+KEPT_WORDS = 400_000
 #: Characters behind a boundary that decide whether it is one.
 LOOKAHEAD = 2
 #: Personal data that the query takes out: mail addresses and long numbers.

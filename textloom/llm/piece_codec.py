@@ -25,8 +25,8 @@ from textloom.llm.tables import text_slices, worker_cache
 
 SPACE = "▁"
 NORMAL, BYTE = 1, 6
-KEPT_WORDS = 500_000
-KEPT_SEAMS = 1_000_000
+KEPT_WORDS = 300_000
+KEPT_SEAMS = 500_000
 _EDGE = -1
 
 
