@@ -380,10 +380,10 @@ where before is null or loss < before""", TRACE)
 _add("epoch_duration", "select epoch, minutes, seconds from durations", TRACE)
 _add("loss_history", """select split, (epoch // 1000)::bigint as page,
   string_agg(printf('%.6f', round(loss, 6)), ' ' order by epoch) as losses from losses group by 1, 2""", TRACE)
-_add("sample_trace", """select conv_id as prompt_id, prompt, at // 1000 as page,
-  string_agg(text, chr(10) || '--' || chr(10) order by at) as generated
+_add("sample_trace", """select conv_id as prompt_id, prompt, place // 1000 as page,
+  string_agg(text, chr(10) || '--' || chr(10) order by place) as generated
 from (select s.conv_id, p.text as prompt, s.text,
-             row_number() over (partition by s.conv_id, p.text order by s.turn, s.text) - 1 as at
+             row_number() over (partition by s.conv_id, p.text order by s.turn, s.text) - 1 as place
       from conversations s join conversations p on p.conv_id = s.conv_id and p.turn = 0
       where s.role = 'assistant') group by 1, 2, 3""")
 _add("epoch_report", f"""select epoch,

@@ -34,7 +34,6 @@ WORLD_SIZE = 4
 EPOCH = 3
 PROMPT_CHARS = 8
 ARRIVING_FILES = 3
-SHARD_FILES_PER_TRIGGER = 8
 MIN_TRIGGERS = 2
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -676,10 +675,11 @@ def _arriving_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _arriving_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written shards, a few files a trigger."""
+    """The written shards, in a few triggers."""
     root = shard_root(spark, sf_dir)
-    schema = spark.read.parquet(root).schema
-    return arrivals.arriving_shards(spark, root, schema, files_per_trigger=SHARD_FILES_PER_TRIGGER)
+    written = spark.read.parquet(root)
+    a_trigger = max(1, len(written.inputFiles()) // ARRIVING_FILES)
+    return arrivals.arriving_shards(spark, root, written.schema, files_per_trigger=a_trigger)
 
 
 @query
