@@ -10,6 +10,7 @@ from textloom.llm import oracles, queries
 
 duckdb = pytest.importorskip("duckdb")
 SF_DIR = "/root/testdata/sf0.001"
+MORE = "/root/testdata/sf0.01"
 
 
 @pytest.mark.parametrize("name", list(oracles.ORACLES))
@@ -30,25 +31,25 @@ def test_all_are_registered():
 
 
 def test_stages_of_the_pipeline(spark):
-    docs = queries.table(spark, SF_DIR, "documents")
+    docs = queries.table(spark, MORE, "documents")
     before = {r["doc_id"]: r for r in docs.collect()}
     seen = [before]
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs, SF_DIR)
+        out = stage(spark, docs, MORE)
         assert out.columns == docs.columns
         out.write.mode("overwrite").parquet(path := _place(spark, len(seen)))
         docs = spark.read.parquet(path)
         rows = docs.collect()
         seen.append({r["doc_id"]: r for r in rows})
     good, single, masked, mixed = seen[1:]
-    predicted = {r["doc_id"] for r in queries.QUERIES["op2_quality_trees"](spark, SF_DIR).collect() if r["predicted"] == 1}
+    predicted = {r["doc_id"] for r in queries.QUERIES["op2_quality_trees"](spark, MORE).collect() if r["predicted"] == 1}
     assert set(good) == predicted and good.items() <= before.items()
     assert set(single) < set(good) and len({r["text"] for r in single.values()}) == len(single)
     assert set(masked) == set(single)
     changed = [d for d in masked if masked[d] != single[d]]
     assert changed and all("[secret]" in masked[d]["text"] and masked[d]["n_chars"] == len(masked[d]["text"]) for d in changed)
     assert mixed.items() <= masked.items()
-    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, MORE).collect()
     assert len(last) == docs.count() and all(r["exact"] for r in last)
 
 
