@@ -108,3 +108,10 @@ def test_batch_matrix_keeps_order(spark):
     ids = arrange.assign_batches(placed, 2).withColumn("input_ids", F.array("id", F.col("id") + 1))
     got = {r.batch_id: r.rows for r in arrange.batch_matrix(ids).collect()}
     assert got == {0: [[0, 1], [1, 2]], 1: [[2, 3], [3, 4]], 2: [[4, 5]]}
+
+
+def test_counting_pieces_reads_no_payload(spark):
+    df = rows(spark, 500).withColumn("text", F.lit("x"))
+    plan = positions.key_positions(df, ["id"])._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and sum("text" in line.split("Batched")[0] for line in scans) == 1

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.hashing import seeded_hash
-from textloom.sources.workspace import checkpointed
+from textloom.sources.workspace import written
 
 POSITION = "pos"
 _ROWS_PER_PIECE = 1_000_000
@@ -76,16 +76,15 @@ def key_positions(df: DataFrame, keys: Sequence[str], n_rows: int | None = None,
     """Add each row's position in key order; ``keys`` must be unique.
 
     One range shuffle and a local sort. Range bounds come from a sample of the whole
-    composite key, so one frequent leading value is spread over many pieces. The
-    sorted rows are checkpointed, which fixes the pieces: a task run again reads
-    the same rows in the same order.
+    composite key, so one frequent leading value is spread over many pieces. The sorted
+    rows are written with their piece and place, which fixes both: a task run again
+    reads the same numbers. Counting the pieces reads these numbers only.
     """
     if n_rows is None:
         n_rows = count_rows(df.select(*keys))
     pieces = piece_count(n_rows, df.sparkSession.sparkContext.defaultParallelism)
-    ordered = checkpointed(df.repartitionByRange(pieces, *keys).sortWithinPartitions(*keys))
-
-    numbered = ordered.withColumn("_row", F.monotonically_increasing_id())
+    ordered = df.repartitionByRange(pieces, *keys).sortWithinPartitions(*keys)
+    numbered = written(ordered.withColumn("_row", F.monotonically_increasing_id()), "key-order")
     numbered = numbered.withColumn("piece", F.shiftright("_row", 33))
     place = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
     return (numbered.join(F.broadcast(_rows_before(numbered.select("piece"))), "piece")
