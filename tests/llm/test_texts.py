@@ -354,7 +354,14 @@ def test_pieces_equal_the_library(spark, library, corpus):
     got = {r["doc_id"]: r for r in pc.encode(frame(spark, texts).withColumn("ids", F.lit(1)), PIECES).collect()}
     for k, text in enumerate(texts):
         assert got[k]["ids"] == library.encode(text or ""), repr((text or "")[:40])
-    exact = {r["doc_id"]: r["exact"] for r in pc.round_trip(frame(spark, texts), PIECES).collect()}
+    decoded = {r["doc_id"]: r for r in pc.decode(pc.encode(frame(spark, texts), PIECES), PIECES).collect()}
+    checked = {r["doc_id"]: r for r in pc.round_trip(frame(spark, texts), PIECES).collect()}
+    for k, text in enumerate(texts):
+        ids = got[k]["ids"]
+        assert (checked[k]["n_tokens"], checked[k]["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) \
+            == (decoded[k]["n_tokens"], decoded[k]["ids_crc32"])
+        assert decoded[k]["text"] == text and (decoded[k]["decoded"] == (text or "")) == checked[k]["exact"]
+    exact = {k: r["exact"] for k, r in checked.items()}
     assert [k for k, ok in exact.items() if not ok] == [k for k, t in enumerate(texts) if pc.SPACE in (t or "")]
     assert pc.round_trip(frame(spark, []), PIECES).count() == 0
 

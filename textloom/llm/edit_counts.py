@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.distinct_words import batch_words
-from textloom.llm.tables import text_slices, worker_cache
+from textloom.llm.tables import for_this_task, text_slices
 from textloom.llm.token_files import WHITE
 
 LEAF_WORDS = 32
@@ -158,10 +158,6 @@ def edit(counter: WordCounter, text: str, leaf_chars: np.ndarray, sums: np.ndarr
     return text, encoded
 
 
-def _counter(path: str) -> WordCounter:
-    return worker_cache(f"counter {path}", lambda: WordCounter(path))
-
-
 def build_trees(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """``(doc_id, text, leaf_chars, sums)`` of each row of ``docs (doc_id, text)``: the state to keep.
 
@@ -173,9 +169,8 @@ def build_trees(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                         ("sums", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(tokenizer_path)
-        for batch in batches:
-            for part in text_slices(batch):
+        with for_this_task(lambda: WordCounter(tokenizer_path)) as counter:
+            for part in (part for batch in batches for part in text_slices(batch)):
                 found = counter.batch_leaves(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text").cast(pa.string()),
@@ -196,23 +191,23 @@ def apply_edits(trees: DataFrame, tokenizer_path: str) -> DataFrame:
                         ("n_tokens", pa.int64()), ("n_encoded", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(tokenizer_path)
-        for batch in batches:
-            columns = {name: batch.column(name) for name in batch.schema.names}
-            out = {name: [] for name in schema.names}
-            for k in range(batch.num_rows):
-                text = columns["text"][k].as_py()
-                chars = np.array(columns["leaf_chars"][k].values, dtype=np.int64)
-                sums = np.array(columns["sums"][k].values, dtype=np.int64)
-                edits = [(e["start"], e["end"], e["text"] or "") for e in columns["edits"][k].as_py() or ()]
-                before, n_encoded = int(sums[1]), 0
-                if edits:
-                    text, n_encoded = edit(counter, text or "", chars, sums, edits)
-                for name, value in zip(schema.names, (columns["doc_id"][k].as_py(), text, chars.astype(np.int32),
-                                                      sums.astype(np.int32), before, len(edits), int(sums[1]),
-                                                      n_encoded)):
-                    out[name].append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
+        with for_this_task(lambda: WordCounter(tokenizer_path)) as counter:
+            for batch in batches:
+                columns = {name: batch.column(name) for name in batch.schema.names}
+                out = {name: [] for name in schema.names}
+                for k in range(batch.num_rows):
+                    text = columns["text"][k].as_py()
+                    chars = np.array(columns["leaf_chars"][k].values, dtype=np.int64)
+                    sums = np.array(columns["sums"][k].values, dtype=np.int64)
+                    edits = [(e["start"], e["end"], e["text"] or "") for e in columns["edits"][k].as_py() or ()]
+                    before, n_encoded = int(sums[1]), 0
+                    if edits:
+                        text, n_encoded = edit(counter, text or "", chars, sums, edits)
+                    for name, value in zip(schema.names, (columns["doc_id"][k].as_py(), text, chars.astype(np.int32),
+                                                          sums.astype(np.int32), before, len(edits), int(sums[1]),
+                                                          n_encoded)):
+                        out[name].append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
     return trees.select("doc_id", "text", "leaf_chars", "sums", "edits").mapInArrow(
         run, TREES + ", n_before long, n_edits long, n_tokens long, n_encoded long")

@@ -18,10 +18,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from textloom.llm.distinct_words import batch_words, gather
-from textloom.llm.tables import text_slices, worker_cache
+from textloom.llm.tables import for_this_task, text_slices
 
 SPACE = "▁"
 NORMAL, BYTE = 1, 6
@@ -245,10 +244,6 @@ class PieceModel:
         return self._table
 
 
-def shared_model(path: str) -> PieceModel:
-    return worker_cache(f"pieces {path}", lambda: PieceModel(path))
-
-
 ENCODED = "doc_id long, text string, ids array<int>"
 
 
@@ -261,9 +256,8 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared_model(model_path)
-        for batch in batches:
-            for part in text_slices(batch):
+        with for_this_task(lambda: PieceModel(model_path)) as model:
+            for part in (part for batch in batches for part in text_slices(batch)):
                 ids, sizes = model.encode(part.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()),
                                                  pa.array(ids.astype(np.int32)))
@@ -285,15 +279,12 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
                         ("decoded", pa.string()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared_model(model_path)
-        for batch in batches:
-            for part in text_slices(batch):
+        with for_this_task(lambda: PieceModel(model_path)) as model:
+            for part in (part for batch in batches for part in text_slices(batch)):
                 lists = part.column("ids")
                 offsets = lists.offsets.to_numpy().astype(np.int64)
                 ids = lists.flatten().to_numpy().astype("<u4")
-                offsets -= offsets[0]
-                raw = memoryview(ids.tobytes())
-                sums = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+                sums = checksums(ids, np.diff(offsets))
                 texts = model.decode(ids, np.diff(offsets))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(sums, pa.int64()),
@@ -302,11 +293,30 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     return encoded.select("doc_id", "ids", "text").mapInArrow(run, DECODED)
 
 
+def checksums(ids: np.ndarray, sizes: np.ndarray) -> list[int]:
+    """Checksum of the ids of each text, as little-endian unsigned 32-bit integers."""
+    raw = memoryview(ids.astype("<u4").tobytes())
+    ends = np.cumsum(sizes)
+    return [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+
+
 def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
     """``(doc_id, n_tokens, ids_crc32, exact)``: exact if decoding gives the whole text back (null: the empty text).
 
-    The only texts that do not come back are those that hold the model's own mark for a space.
+    As :func:`decode` after :func:`encode`, in one pass and without the ids leaving their task. The only
+    texts that do not come back are those that hold the model's own mark for a space.
     """
-    done = decode(encode(docs, model_path), model_path)
-    return done.select("doc_id", "n_tokens", "ids_crc32",
-                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()),
+                        ("exact", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with for_this_task(lambda: PieceModel(model_path)) as model:
+            for part in (part for batch in batches for part in text_slices(batch)):
+                ids, sizes = model.encode(part.column("text"))
+                exact = [text == (own or "") for text, own in
+                         zip(model.decode(ids, sizes), part.column("text").to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(sizes), pa.array(checksums(ids, sizes), pa.int64()),
+                     pa.array(exact)], schema=schema)
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, exact boolean")

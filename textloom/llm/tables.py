@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import sys
-import types
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,18 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs inside hand tasks at most so many rows at once: bounds the memory for rows of large binaries."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def discard(table: DataFrame) -> None:
     """Remove the files of a table made by :func:`stored`."""
     for name in {file.rsplit("/", 2)[-2] for file in table.inputFiles()}:
@@ -51,12 +64,19 @@ def cores(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
-def worker_cache(name: str, build: Callable[[], object]) -> object:
-    """An object kept by a Python worker from task to task; built again in a new worker."""
-    kept = sys.modules.setdefault("_textloom_worker", types.ModuleType("_textloom_worker"))
-    if not hasattr(kept, name):
-        setattr(kept, name, build())
-    return getattr(kept, name)
+@contextmanager
+def for_this_task(build: Callable[[], object]) -> Iterator[object]:
+    """An object with caches for the time of a task; its memory is given back when the task ends."""
+    made = build()
+    try:
+        yield made
+    finally:
+        vars(made).clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # there with the GNU library only
+        if trim is not None:
+            trim(0)
 
 
 def text_slices(batch: pa.RecordBatch, rows: int = 2000, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
