@@ -22,23 +22,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.distinct_words import batch_words, gather
-from textloom.llm.tables import cores, stored, text_slices, worker_cache
+from textloom.llm.tables import cores, for_this_task, small_batches, stored, text_slices
 
 MAGIC = b"TLTOKEN1"
 HEADER = "<8s5Q"
 END_ID = 0
 #: Ids in a block: the unit of a file, of memory and of recovery.
-BLOCK_IDS = 4_000_000
+BLOCK_IDS = 3_000_000
+#: Rows in a range of ids, one task; tasks get larger, not more, beyond the largest number of ranges.
 ROWS_PER_TASK = 20_000
+MOST_PARTS = 100_000
 NULL_ID = -(1 << 63)
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 700_000
+KEPT_WORDS = 500_000
 # What the tokenizer's pattern takes for white space.
 WHITE = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+WHITE_RE2 = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"     # the same
 
 
 # Codes ---------------------------------------------------------------------------
@@ -81,74 +85,90 @@ class WordEncoder:
     token, go to the tokenizer whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept_words: int = KEPT_WORDS):
         import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.edge = re.compile(f"^[{WHITE}]|[{WHITE}]$")
-        self.kept: dict[str, np.ndarray | None] = {}
-
-    def _ids(self, words: list[str]) -> list[bytes | None]:
-        """Ids of each word with a space before it; None: such a text is encoded whole."""
-        kept = self.kept
-        missing = [w for w in words if w not in kept]
-        if len(kept) + len(missing) > KEPT_WORDS:
-            kept.clear()
-            missing = words
-        for at in range(0, len(missing), 20_000):
-            part = missing[at:at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([" " + w for w in part], add_special_tokens=False)):
-                kept[w] = np.array(e.ids, dtype="<u4").tobytes() if self._plain(w) else None
-        return [kept[w] for w in words]
-
-    def _plain(self, word: str) -> bool:
-        return bool(word) and not self.edge.search(word) and not any(s in word for s in self.specials)
-
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.uint32) for e in
-                self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        names = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join(["^$", f"^[{WHITE_RE2}]", f"[{WHITE_RE2}]$", *names])
+        self.kept_words = kept_words
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.values = np.zeros(0, dtype=np.uint32)
+        self.starts = np.zeros(0, dtype=np.int64)
+        self.sizes = np.zeros(0, dtype=np.int64)
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and numbers of ids of texts, by the tokenizer."""
+        sizes, ids = [], []
+        for at in range(0, len(texts), 20_000):
+            for e in self.tokenizer.encode_batch_fast(texts[at:at + 20_000], add_special_tokens=False):
+                own = e.ids
+                sizes.append(len(own))
+                ids += own
+        return np.array(ids, dtype=np.uint32), np.array(sizes, dtype=np.int64)
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each of some distinct words, as they are after a space."""
+        get = self.number.get
+        found = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
+        new = np.flatnonzero(found < 0)
+        if not len(new):
+            return found
+        if len(self.number) + len(new) > self.kept_words and self.number:
+            self._forget()
+            return self._numbers(words)
+        missing = [words[k] for k in new.tolist()]
+        first = len(self.number)
+        ids, sizes = self._whole([" " + w for w in missing])
+        self.number.update(zip(missing, range(first, first + len(missing))))
+        self.starts = np.concatenate([self.starts, len(self.values) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.values = np.concatenate([self.values, ids])
+        found[new] = np.arange(first, first + len(missing))
+        return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and the number of ids of each text."""
         cut = batch_words(texts)
         n = len(texts)
-        coded = self._ids(cut.words)
-        whole_words = np.fromiter((c is None for c in coded), dtype=bool, count=len(coded))
-        starts_of = cut.offsets[:-1]
-        firsts = [cut.words[k] for k in cut.index[starts_of].tolist()]
+        odd_words = pc.match_substring_regex(pa.array(cut.words, pa.string()), self.odd)
+        odd_words = odd_words.to_numpy(zero_copy_only=False)
+        numbers = self._numbers(cut.words)
+        at = cut.offsets[:-1]
         # The first word of a text has no space before it.
+        firsts = [cut.words[k] for k in cut.index[at].tolist()]
         distinct_firsts = list(dict.fromkeys(firsts))
-        first_number = {w: len(coded) + k for k, w in enumerate(distinct_firsts)}
-        coded = [c or b"" for c in coded] + [e.tobytes() for e in self._whole(distinct_firsts)]
-        index = cut.index.astype(np.int64)
-        irregular = np.add.reduceat(whole_words[index], starts_of) > 0
-        index[starts_of] = [first_number[w] for w in firsts]
-
-        sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 4
-        values = np.frombuffer(b"".join(coded), dtype="<u4")
-        per_text = np.add.reduceat(sizes[index], starts_of)
+        first_ids, first_sizes = self._whole(distinct_firsts)
+        first_number = dict(zip(distinct_firsts, range(len(self.sizes), len(self.sizes) + len(distinct_firsts))))
+        values = np.concatenate([self.values, first_ids])
+        starts = np.concatenate([self.starts, len(self.values) + np.cumsum(first_sizes) - first_sizes])
+        sizes = np.concatenate([self.sizes, first_sizes])
+        index = numbers[cut.index]
+        index[at] = [first_number[w] for w in firsts]
+
+        per_text = np.add.reduceat(sizes[index], at)
+        irregular = np.logical_or.reduceat(odd_words[cut.index], at)
         if not irregular.any():
-            return gather(values, np.cumsum(sizes) - sizes, sizes, index), per_text
+            return gather(values, starts, sizes, index), per_text
         of_text = np.repeat(np.arange(n), np.diff(cut.offsets))
-        ids = gather(values, np.cumsum(sizes) - sizes, sizes, index[~irregular[of_text]])
+        ids = gather(values, starts, sizes, index[~irregular[of_text]])
         regular = iter(np.split(ids, np.cumsum(per_text[~irregular])[:-1]))
         rows = np.flatnonzero(irregular).tolist()
-        whole = iter(self._whole([texts[k].as_py() or "" for k in rows]))
+        whole_ids, whole_sizes = self._whole([texts[k].as_py() or "" for k in rows])
+        whole = iter(np.split(whole_ids, np.cumsum(whole_sizes)[:-1]))
         parts = [next(whole) if odd else next(regular) for odd in irregular.tolist()]
         return np.concatenate(parts), np.fromiter(map(len, parts), dtype=np.int64, count=n)
 
 
-def shared_encoder(path: str) -> WordEncoder:
-    return worker_cache(f"encoder {path}", lambda: WordEncoder(path))
-
-
 # Blocks ----------------------------------------------------------------------------
 
-BLOCKS = "part int, block int, n_ids long, doc_ids binary, sizes binary, ids binary"
+BLOCKS = ("part int, block int, inside long, n_ids long, doc_ids binary, sizes binary, ids binary, used binary, uses binary")
 
 
 def token_blocks(docs: DataFrame, tokenizer_path: str, block_ids: int = BLOCK_IDS) -> DataFrame:
@@ -157,20 +177,27 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, block_ids: int = BLOCK_ID
     Texts are shuffled by ranges of id and sorted; equal ids are ordered by their text, so
     that a task run again makes the same blocks. One block at a time is held.
     """
-    schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.binary()),
-                        ("sizes", pa.binary()), ("ids", pa.binary())])
+    schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("inside", pa.int64()), ("n_ids", pa.int64()),
+                        ("doc_ids", pa.binary()),
+                        ("sizes", pa.binary()), ("ids", pa.binary()), ("used", pa.binary()), ("uses", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(tokenizer_path)
-        number, part, held, n_held = 0, 0, [], 0
+        with for_this_task(lambda: WordEncoder(tokenizer_path)) as encoder:
+            yield from encoded_blocks(encoder, batches)
+
+    def encoded_blocks(encoder: WordEncoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, part, inside, held, n_held = 0, 0, 0, [], 0
 
         def flush() -> pa.RecordBatch:
             doc_ids, sizes, ids = (np.concatenate(c) for c in zip(*held))
             narrow = ids.astype("<u2") if ids.max(initial=0) < 1 << 16 else ids.astype("<u4")
+            uses = np.bincount(ids)
+            used = np.flatnonzero(uses)
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([len(ids)], pa.int64()),
-                 pa.array([doc_ids.tobytes()]), pa.array([sizes.tobytes()]), pa.array([narrow.tobytes()])],
-                schema=schema)
+                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([inside], pa.int64()),
+                 pa.array([len(ids)], pa.int64()), pa.array([doc_ids.tobytes()]), pa.array([sizes.tobytes()]),
+                 pa.array([narrow.tobytes()]), pa.array([used.astype("<u4").tobytes()]),
+                 pa.array([uses[used].astype("<u4").tobytes()])], schema=schema)
 
         for batch in batches:
             for piece in text_slices(batch, size=min(8_000_000, 4 * block_ids)):
@@ -183,12 +210,12 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, block_ids: int = BLOCK_ID
                 n_held += len(with_end)
                 if n_held >= block_ids:
                     yield flush()
-                    number, held, n_held = number + 1, [], 0
+                    number, inside, held, n_held = number + 1, inside + n_held, [], 0
         if held:
             yield flush()
 
     rows = docs.select("doc_id", "text")
-    parts = max(cores(docs.sparkSession), -(-rows.count() // ROWS_PER_TASK))
+    parts = min(max(cores(docs.sparkSession), -(-rows.count() // ROWS_PER_TASK)), MOST_PARTS)
     ordered = (rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
                .withColumn("part", F.spark_partition_id()))
     return ordered.mapInArrow(run, BLOCKS)
@@ -199,20 +226,23 @@ def _block_ids(ids: bytes, n: int) -> np.ndarray:
 
 
 def ranked_ids(blocks: DataFrame) -> np.ndarray:
-    """The ids of the corpus, most frequent first; at most the size of the vocabulary."""
+    """The ids of the corpus, most frequent first; at most the size of the vocabulary.
+
+    Every block has the counts of its ids, so no ids are read again.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids, n in zip(batch.column("ids"), batch.column("n_ids")):
-                seen = np.bincount(_block_ids(ids.as_py(), n.as_py()))
-                longer, shorter = (seen, total) if len(seen) > len(total) else (total, seen)
-                total = longer.copy()
-                total[:len(shorter)] += shorter
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())],
+            for used, uses in zip(batch.column("used"), batch.column("uses")):
+                used, uses = (np.frombuffer(b.as_py(), "<u4") for b in (used, uses))
+                if len(used):
+                    total = np.pad(total, (0, max(0, int(used[-1]) + 1 - len(total))))
+                    total[used] += uses
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())],
                                          names=["id", "n"])
 
-    counts = (blocks.select("n_ids", "ids").mapInArrow(count, "id long, n long").groupBy("id")
+    counts = (blocks.select("used", "uses").mapInArrow(count, "id long, n long").groupBy("id")
               .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id"))
     return np.array([row["id"] for row in counts.select("id").collect()], dtype=np.uint32)
 
@@ -230,13 +260,13 @@ def write_files(blocks: DataFrame, ranked: np.ndarray, path: str) -> int:
     the block: a task run again or twice leaves the same file. ``path`` is a folder all
     executors reach by a file, hdfs, s3 or gs URI.
     """
+    # One row for each range, MOST_PARTS at most: small enough for one task, and to be broadcast.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))       # one row for each range part
+    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before_part = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before_part"))
-    within = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = (blocks.select("part", "block", "n_ids")
-              .withColumn("inside", F.coalesce(F.sum("n_ids").over(within), F.lit(0)))
-              .join(before_part, "part").select("part", "block", (F.col("before_part") + F.col("inside")).alias("before")))
+    placed = (blocks.select("part", "block", "inside", "n_ids", "doc_ids", "sizes", "ids")
+              .join(F.broadcast(before_part), "part")
+              .withColumn("before", F.col("before_part") + F.col("inside")).drop("before_part", "inside"))
     rank = np.zeros(int(ranked.max(initial=0)) + 1, dtype=np.uint32)
     rank[ranked] = np.arange(len(ranked), dtype=np.uint32)
 
@@ -257,8 +287,9 @@ def write_files(blocks: DataFrame, ranked: np.ndarray, path: str) -> int:
                 filesystem.move(attempt, name)
                 yield pa.RecordBatch.from_arrays([pa.array([1], pa.int64())], names=["files"])
 
-    done = blocks.join(before, ["part", "block"]).mapInArrow(write, "files long")
-    return done.agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
+    done = placed.mapInArrow(write, "files long")
+    with small_batches(blocks.sparkSession, 1):
+        return done.agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
 
 
 def read_files(spark: SparkSession, path: str, ranked: np.ndarray, doc_id_type: str = "long") -> DataFrame:
@@ -301,7 +332,8 @@ def write_documents(docs: DataFrame, tokenizer_path: str, path: str, block_ids:
     their text. Null and empty texts have the end id only. Other columns are ignored; an
     empty table writes no file.
     """
-    blocks = stored(token_blocks(docs, tokenizer_path, block_ids), "blocks", compression="zstd")
+    with small_batches(docs.sparkSession, 2000):
+        blocks = stored(token_blocks(docs, tokenizer_path, block_ids), "blocks", compression="zstd")
     ranked = ranked_ids(blocks)
     write_files(blocks, ranked, path)
     return ranked
