@@ -115,6 +115,39 @@ def test_no_vectors(spark):
     assert pi.near_duplicate_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def one_group(n, grouped, dim=64, noise=0.24, seed=3):
+    """Vectors of one label, the first ``grouped`` of them distinct near copies of one point."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    centre = rng.normal(size=dim)
+    x[:grouped] = centre / np.linalg.norm(centre) + noise * x[:grouped]
+    return x.astype(np.float32)
+
+
+@pytest.mark.parametrize("n, grouped", [(3000, 1000), (300, 300)])
+def test_recall_in_a_large_group_of_near_copies(spark, n, grouped):
+    x = one_group(n, grouped)
+    rows = [(k, [float(v) for v in x[k]], 1) for k in range(n)]
+    got = {r["vec_id"]: r for r in pi.near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    links = (unit @ unit.T >= pi.THRESHOLD).sum(axis=1) - 1
+    assert links.sum() > 0.5 * grouped ** 2
+    assert all(got[k]["n_links"] <= links[k] for k in range(n))
+    assert sum(r["n_links"] for r in got.values()) >= 0.99 * links.sum()
+    assert all(got[k]["component_id"] == (0 if k < grouped else k) for k in range(n))
+
+
+def test_no_two_pivots_are_near(spark):
+    x = one_group(700, 400).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    kept = pi.spread_out(x)
+    cosines = kept @ kept.T
+    np.fill_diagonal(cosines, 0)
+    assert cosines.max() < pi.PIVOT_COSINE and (x @ kept.T).max(axis=1).min() >= pi.PIVOT_COSINE
+    assert 300 < len(kept) < 320
+
+
 @pytest.mark.skipif(not os.path.isdir(CHECK_DIR), reason="no such table here")
 def test_recall_on_the_check_table(spark):
     vectors = queries.table(spark, CHECK_DIR, "embeddings")

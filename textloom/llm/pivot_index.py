@@ -3,6 +3,9 @@
 A vector is described by its nearest reference points (pivots), nearest first. Every
 pivot has an inverted list of the vectors that name it. Two vectors are candidates if
 they name at least ``shared`` pivots in common; candidates are verified by their cosine.
+No two pivots are near each other: a group of near copies of any size has one or few
+of its own, and its vectors name the same ones. Where there are fewer pivots than
+``shared``, all of them are asked for.
 
 Lists are kept by label, and a list longer than a block is cut into blocks by a
 hash; tasks take pairs of blocks. A pair that meets in several lists is judged in the list
@@ -32,6 +35,8 @@ PIVOTS_PER_ROOT = 4
 LEAST_PIVOTS = 64
 MOST_PIVOTS = 16_384
 MOST_PIVOT_NUMBERS = 4_000_000
+#: No two pivots have this cosine or more.
+PIVOT_COSINE = 0.8
 
 
 def pivot_count(n_vectors: int, dimension: int) -> int:
@@ -46,8 +51,21 @@ def _usable() -> Column:
             & F.coalesce(whole & F.exists("embedding", lambda x: x != 0), F.lit(False)))
 
 
+def spread_out(points: np.ndarray, limit: float = PIVOT_COSINE, block: int = 256) -> np.ndarray:
+    """The unit vectors, in order, without those that have a cosine of ``limit`` with an earlier one that stays."""
+    kept = points[:0]
+    for start in range(0, len(points), block):
+        part = points[start:start + block]
+        part = part[(part @ kept.T < limit).all(axis=1)]
+        near, stays = part @ part.T >= limit, np.zeros(len(part), dtype=bool)
+        for k in range(len(part)):
+            stays[k] = not near[k, :k][stays[:k]].any()
+        kept = np.concatenate([kept, part[stays]])
+    return kept
+
+
 def choose_pivots(classes: DataFrame) -> dict[int, np.ndarray]:
-    """Unit reference points for each dimension: the distinct vectors of the least hashes, a bounded sample."""
+    """Unit reference points for each dimension: the distinct vectors of the least hashes, a bounded sample, thinned."""
     sizes = {row["dim"]: row["n"] for row in
              classes.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(64).collect()}
     pivots = {}
@@ -55,7 +73,8 @@ def choose_pivots(classes: DataFrame) -> dict[int, np.ndarray]:
         sample = (classes.where(F.col("dim") == dim).select("node", "embedding")
                   .orderBy(F.xxhash64("node"), "node").limit(pivot_count(n, dim)).collect())
         points = np.array([row["embedding"] for row in sample], dtype=np.float64)
-        pivots[dim] = points / np.linalg.norm(points, axis=1, keepdims=True)
+        points /= np.abs(points).max(axis=1, keepdims=True)
+        pivots[dim] = spread_out(points / np.linalg.norm(points, axis=1, keepdims=True))
     return pivots
 
 
@@ -131,6 +150,7 @@ def verified(dealt: DataFrame, threshold: float, shared: int) -> DataFrame:
         copies = group.column("copies").to_numpy()
         vectors = group.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
         nearest = group.column("nearest").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+        least = min(shared, nearest.shape[1])
         scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
         unit = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
         left, right = np.flatnonzero(own == a), np.flatnonzero(own == b)
@@ -144,7 +164,7 @@ def verified(dealt: DataFrame, threshold: float, shared: int) -> DataFrame:
             common = (nearest[x][:, :, None] == nearest[y][:, None, :]).any(axis=2)
             first = np.where(common, nearest[x], np.iinfo(np.int32).max).min(axis=1)
             cosine = np.einsum("ij,ij->i", unit[x], unit[y])
-            keep.append((common.sum(axis=1) >= shared) & (first == pivot) & (cosine >= threshold))
+            keep.append((common.sum(axis=1) >= least) & (first == pivot) & (cosine >= threshold))
         kept = np.concatenate(keep) if keep else np.zeros(0, dtype=bool)
         i, j = i[kept], j[kept]
         if not len(i):
