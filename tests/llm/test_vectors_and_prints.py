@@ -256,3 +256,11 @@ def test_one_of_each_stays(spark):
     assert got.columns == docs.columns
     assert sorted((r["doc_id"] or 0, r["fp"]) for r in got.collect()) == [(0, 5), (1, 6), (3, 2), (4, 4)]
     assert gs.keep_one_of_each(docs.limit(0)).count() == 0
+
+
+def test_one_of_each_stays_in_groups_of_one_smallest_id(spark):
+    texts = [" ".join(f"{mark}{k}" for k in range(300)) for mark in ("north", "south", "east", "west", "up")]
+    rows = [(None, texts[0], 1), (None, texts[0], 1), (None, texts[1], 2), (None, texts[2], 3),
+            (7, texts[3], 4), (8, texts[3], 5), (7, texts[4], 6), (9, texts[4], 7), (None, texts[4], 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    assert sorted(r["row"] for r in gs.keep_one_of_each(docs).collect()) == [1, 2, 3, 4, 6]

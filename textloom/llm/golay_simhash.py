@@ -182,6 +182,16 @@ def link_fingerprints(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> Da
     return (joined.select("fp", F.coalesce("final", "part").alias("root")).where("root <> fp"))
 
 
+def _grouped(docs: DataFrame, max_distance: int) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, fp)`` of all rows, and ``(fp, root, component_id)`` of the distinct fingerprints."""
+    prints = stored(docs.select("doc_id", fingerprint_column(F.col("text")).alias("fp")), "prints")
+    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    rooted = classes.join(stored(link_fingerprints(classes, max_distance), "roots"), "fp", "left")
+    rooted = stored(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
+    lowest = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "lowest")
+    return prints, stored(rooted.join(lowest, "root").select("fp", "root", "component_id"), "groups")
+
+
 def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """``(doc_id, fp, component_id)``, one row per row of ``docs (doc_id, text)``.
 
@@ -191,27 +201,22 @@ def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFr
     nothing. Rows with a null doc_id get the smallest other id of their group, or null.
     Empty table: no rows. Other columns are ignored.
     """
-    prints = stored(docs.select("doc_id", fingerprint_column(F.col("text")).alias("fp")), "prints")
-    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    rooted = classes.join(stored(link_fingerprints(classes, max_distance), "roots"), "fp", "left")
-    rooted = stored(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
-    lowest = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "lowest")
-    groups = stored(rooted.join(lowest, "root").select("fp", "component_id"), "groups")
+    prints, groups = _grouped(docs, max_distance)
     return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The row with the smallest doc_id of every group, all columns as they were.
 
-    Rows of one id in one group count once. Rows with a null doc_id stay only where
-    their group has no other id.
+    Rows of one id in one group count once; an id that is the smallest of several groups
+    stays in each. Rows with a null doc_id stay only where their group has no other id, one for
+    each such group.
     """
-    groups = near_duplicates(docs)
-    kept = stored(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .select(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp"))
-                  .groupBy("kept_id").agg(F.min("kept_fp").alias("kept_fp")), "kept")
+    prints, groups = _grouped(docs, MAX_DISTANCE)
+    kept = stored(prints.join(groups, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+                  .groupBy("root", F.col("component_id").alias("kept_id")).agg(F.min("fp").alias("kept_fp"))
+                  .select("kept_id", "kept_fp"), "kept")
     fp = free_name(docs, "fp")
     rows = docs.withColumn(fp, fingerprint_column(F.col("text")))
     same = rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows[fp] == kept["kept_fp"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id"]).drop(fp)
-
+    return rows.join(kept, same, "left_semi").dropDuplicates([fp]).drop(fp)     # a fingerprint is of one group
