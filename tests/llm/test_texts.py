@@ -476,3 +476,10 @@ def test_junk_goes_and_clean_documents_stay(spark):
     labels = queries.table(spark, "/root/testdata/sf0.01", "labels").select("doc_id", "quality")
     judged = lr.judge(docs).join(labels, "doc_id").where("not base_failed").toPandas()
     assert judged[judged["quality"] == 1]["kept"].mean() > 0.99
+
+
+@pytest.mark.parametrize("n", [1, 9, 10])
+def test_rules_of_few_labelled_urls(spark, n):
+    rows = [(k, f"http://www{k}.a.net/p") for k in range(n)] + [(100, "http://other.test/p"), (101, None)]
+    got = {r["page_id"]: r["verdict"] for r in ur.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got == {**{k: "block" for k in range(n)}, 100: "allow", 101: "allow"}
