@@ -138,6 +138,12 @@ def test_recall_in_a_large_group_of_near_copies(spark, n, grouped):
     assert all(got[k]["component_id"] == (0 if k < grouped else k) for k in range(n))
 
 
+def test_vectors_of_many_lengths(spark):
+    rows = [(100 * dim + k, [1.0] * (dim - 1) + [1.0 + 0.01 * k], 1) for dim in range(2, 72) for k in range(2)]
+    got = pi.near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r["vec_id"], r["n_links"], r["component_id"]) for r in got} == {(v, 1, v - v % 100) for v, _, _ in rows}
+
+
 def test_no_two_pivots_are_near(spark):
     x = one_group(700, 400).astype(float)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
