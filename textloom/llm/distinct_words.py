@@ -18,14 +18,18 @@ class BatchWords:
     words: list[str]
 
 
+def coded_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Offsets, indices and distinct words, as in :class:`BatchWords`, the words as an Arrow array."""
+    pieces = pc.split_pattern(pc.fill_null(texts, ""), " ")
+    coded = pieces.flatten().dictionary_encode()
+    offsets = pieces.offsets.to_numpy().astype(np.int64)
+    return offsets - offsets[0], coded.indices.to_numpy(), coded.dictionary
+
+
 def batch_words(texts: pa.Array) -> BatchWords:
     """Cut texts at every single space; the spaces are not part of the words. Nulls are empty texts."""
-    texts = pc.fill_null(texts, "")
-    pieces = pc.split_pattern(texts, " ")
-    flat = pieces.flatten()
-    coded = flat.dictionary_encode()
-    offsets = pieces.offsets.to_numpy().astype(np.int64)
-    return BatchWords(offsets - offsets[0], coded.indices.to_numpy(), coded.dictionary.to_pylist())
+    offsets, index, words = coded_words(texts)
+    return BatchWords(offsets, index, words.to_pylist())
 
 
 def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> np.ndarray:

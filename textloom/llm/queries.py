@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import (
-    blob_ledger, edit_counts, golay_simhash, hash_mixing, line_rules, piece_codec, pivot_index, quality_trees,
-    token_files, url_rules)
+    best_two_fit, blob_ledger, edit_counts, golay_simhash, hash_mixing, line_rules, piece_codec, pivot_index,
+    quality_trees, spelling_tiles, token_alignment, token_files, url_rules)
 from textloom.sources import tables, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,19 @@ def op9_hash_mixing(spark, sf_dir):
 @query
 def op10_line_rules(spark, sf_dir):
     return line_rules.judge(table(spark, sf_dir, "documents")).drop("n_kept_words")
+
+
+@query
+def op11_best_two_fit(spark, sf_dir):
+    return best_two_fit.places(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    return token_alignment.align_documents(
+        table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op13_spelling_tiles(spark, sf_dir):
+    return spelling_tiles.spelling_groups(table(spark, sf_dir, "documents"))
