@@ -35,10 +35,10 @@ from textloom.llm.word_encoder import WordEncoder, vocabulary_bytes
 SPACE = "▁"
 NORMAL, BYTE = 1, 6
 #: Bytes of text encoded at once, and words of documents in a block.
-SLICE_BYTES = 4_000_000
-BLOCK_WORDS = 2_000_000
+SLICE_BYTES = 1_500_000
+BLOCK_WORDS = 1_000_000
 #: Words whose alignment a worker keeps: at most so many, and none longer.
-KEPT_WORDS = 220_000
+KEPT_WORDS = 120_000
 LONGEST_KEPT = 100
 
 
@@ -182,7 +182,7 @@ class Aligner:
     def __init__(self, tokenizer_path: str, model_path: str, kept_words: int = KEPT_WORDS):
         import sentencepiece
 
-        self.words = WordEncoder(tokenizer_path, names_are_text=True, kept_bytes=32_000_000)
+        self.words = WordEncoder(tokenizer_path, names_are_text=True, kept_bytes=24_000_000)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=model_path)
         self.a_bytes, self.b_bytes = Bytes(vocabulary_bytes(tokenizer_path)), Bytes(piece_bytes(model_path))
         self.kept_words = kept_words
@@ -297,20 +297,23 @@ class Block:
         first = np.cumsum(n_pairs) - n_pairs
         held = gather(of_pair, first, n_pairs, word) + np.repeat(doc, n_pairs[word]) * max(1, len(ids))
         docs = np.bincount(distinct(held)[0] % max(1, len(ids)), minlength=len(ids))
-        self.slices.append((doc_ids, numbers, digests, np.bincount(doc, minlength=n), word, times, n_pairs, of_pair, uses, ids, docs))
+        self.slices.append((doc_ids, numbers, digests, np.bincount(doc, minlength=n), word.astype("<i4"), times.astype("<i4"),
+                            n_pairs.astype("<i4"), of_pair.astype("<i4"), uses, ids, docs))
         self.n_words += len(word)
 
     def row(self, block: int) -> pa.RecordBatch:
         """All slices as one row; words of different slices stay apart, pairs do not."""
         doc_ids, numbers, digests, n_words, words, times, n_pairs, of_pair, uses, ids, docs = zip(*self.slices)
         all_ids, place = np.unique(np.concatenate(ids), return_inverse=True)
+        place = place.astype("<i4")
+        self.slices.clear()
         first_id = np.cumsum([0, *map(len, ids)])
         first_word = np.cumsum([0, *map(len, n_pairs)])
         binaries = (
             np.concatenate(numbers).astype("<i8"), b"".join(digests), np.concatenate(n_words).astype("<i4"),
-            np.concatenate([w + first for w, first in zip(words, first_word)]).astype("<i4"),
-            np.concatenate(times).astype("<i4"), np.concatenate(n_pairs).astype("<i4"),
-            np.concatenate([place[first + p] for p, first in zip(of_pair, first_id)]).astype("<i4"),
+            np.concatenate([w + np.int32(first) for w, first in zip(words, first_word)]),
+            np.concatenate(times), np.concatenate(n_pairs),
+            np.concatenate([place[p + np.int32(first)] for p, first in zip(of_pair, first_id)]),
             np.concatenate(uses).astype("<i8"), all_ids.astype("<u8"),
             np.bincount(place, weights=np.concatenate(docs), minlength=len(all_ids)).astype("<i8"))
         own = pa.concat_arrays([d.cast(pa.int64()) for d in doc_ids])
@@ -328,6 +331,7 @@ def aligned_blocks(docs: DataFrame, tokenizer_path: str, model_path: str, block_
             for rows in (rows for batch in batches for rows in text_slices(batch, size=SLICE_BYTES)):
                 part = rows.column("part")[0].as_py()
                 block.add(rows.column("doc_id"), *aligner.texts(rows.column("text")))
+                pa.default_memory_pool().release_unused()
                 if block.n_words >= block_words:
                     yield block.row(part << 32 | number)
                     block, number = Block(), number + 1
