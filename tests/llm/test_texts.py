@@ -1,7 +1,10 @@
 """Classifier, secrets, token files, edits, URLs, pieces, mixing and line rules against plain versions."""
 
 import hashlib
+import os
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -178,27 +181,49 @@ def test_token_files_against_the_library(spark, corpus, block_ids):
     rows = [((k * 37) % len(texts) - 20, t) for k, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as part", "2 as ids")
     path = workspace.scratch_path(spark, "token-files")
-    ranked = tf.write_documents(docs, BPE, path, block_ids)
-    got = sorted(tuple(r) for r in tf.read_files(spark, path, ranked).collect())
+    tf.write_documents(docs, BPE, path, block_ids)
+    got = sorted(tuple(r) for r in tf.read_files(spark.newSession(), path).collect())
     assert got == plain_tokens(sorted(rows))
-    files = spark.read.format("binaryFile").load(path).orderBy("path")
+    ranked = tf.read_ranks(spark, path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "tokens-*").load(path).orderBy("path")
     starts = [tf.parse(memoryview(r["content"]), ranked)[1] for r in files.collect()]
     assert starts == sorted(starts) and (block_ids == tf.BLOCK_IDS or len(starts) > 100)
 
 
 def test_token_files_of_repeated_and_null_ids(spark):
-    rows = [(5, "b"), (None, "n"), (5, "a"), (5, "a"), (1, None)]
+    """Ids of type int, null and repeated ids; rows of one id in any order, each once."""
+    rows = [(5, "b"), (None, "n"), (5, "a"), (5, "a"), (1, None)] + [(7, f"word {k % 3}") for k in range(60)]
     path = workspace.scratch_path(spark, "token-files")
-    ranked = tf.write_documents(spark.createDataFrame(rows, "doc_id long, text string"), BPE, path)
-    got = sorted((tuple(r) for r in tf.read_files(spark, path, ranked).collect()), key=lambda r: r[1])
-    assert got == plain_tokens([(None, "n"), (1, None), (5, "a"), (5, "a"), (5, "b")])
+    tf.write_documents(spark.createDataFrame(rows, "doc_id int, text string"), BPE, path, block_ids=20)
+    got = sorted((tuple(r) for r in tf.read_files(spark, path).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == [None, 1] + [5] * 3 + [7] * 60
+    assert [r[1] for r in got] == [sum(r[2] for r in got[:k]) for k in range(len(got))]
+    assert sorted((str(r[0]), *r[2:]) for r in got) == sorted((str(r[0]), *r[2:]) for r in plain_tokens(rows))
     with pytest.raises(ValueError):
-        tf.parse(memoryview(b"TLTOKEN1" + bytes(41)), ranked)
+        tf.parse(memoryview(b"TLTOKEN1" + bytes(41)), tf.read_ranks(spark, path))
 
 
-def test_no_documents_no_files(spark):
-    blocks = tf.token_blocks(spark.createDataFrame([], "doc_id long, text string"), BPE)
-    assert blocks.count() == 0 and len(tf.ranked_ids(blocks)) == 0
+def test_an_empty_table_reads_as_one(spark):
+    path = workspace.scratch_path(spark, "token-files")
+    assert tf.write_documents(spark.createDataFrame([], "doc_id long, text string"), BPE, path) == 0
+    assert tf.read_files(spark, path).collect() == [] and len(tf.read_ranks(spark, path)) == 0
+
+
+def test_a_folder_that_is_not_finished_is_not_read(spark, tmp_path):
+    with pytest.raises(ValueError):
+        tf.read_files(spark, str(tmp_path))
+
+
+def test_files_are_read_without_the_writer(spark, corpus, tmp_path):
+    """Another process, which has the folder only."""
+    docs = frame(spark, corpus[:50])
+    tf.write_documents(docs, BPE, str(tmp_path / "files"))
+    code = ("import sys; from textloom.llm import token_files as tf; from textloom import session\n"
+            "spark = session.builder('reader').master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "print('ROWS', sorted(tuple(r) for r in tf.read_files(spark, sys.argv[1]).collect()))")
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code, str(tmp_path / "files")], cwd=root, capture_output=True, text=True, timeout=300)
+    assert f"ROWS {plain_tokens(list(enumerate(corpus[:50])))}" in done.stdout
 
 
 def test_every_white_space_character():

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.distinct_words import batch_words
 from textloom.llm.tables import for_this_task, text_slices
-from textloom.llm.token_files import WHITE
+from textloom.llm.word_encoder import WHITE
 
 LEAF_WORDS = 32
 #: Pre-tokens whose counts a worker keeps.

@@ -60,8 +60,8 @@ def op4_blob_ledger(spark, sf_dir):
 @query
 def op5_token_files(spark, sf_dir):
     path = workspace.scratch_path(spark, "token-files")
-    ranked = token_files.write_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), path)
-    return token_files.read_files(spark, path, ranked)
+    token_files.write_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), path)
+    return token_files.read_files(spark, path)
 
 
 @query

@@ -5,10 +5,12 @@ its length is a 2-bit field in a separate stream of control bytes, four ranks a
 Decoding looks up each control byte in a table that says how long its four codes are.
 
 A file holds a run of documents in ascending order of id; files are numbered in that
-order too::
+order too, and the ids by rank are in a file of their own, so the folder can be read by whoever has it::
 
     magic 8 bytes | documents, ids, ids in earlier files, control bytes, data bytes: 5 x uint64
     doc_id int64 x documents (null: the smallest int64) | n_tokens int64 x documents | control | data
+
+    ranks.bin: magic 8 bytes | ids uint64 | id uint32 x ids, most frequent first
 """
 
 from __future__ import annotations
@@ -22,27 +24,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.distinct_words import batch_words, gather
 from textloom.llm.tables import cores, for_this_task, small_batches, stored, text_slices
+from textloom.llm.word_encoder import WordEncoder
+from textloom.sources import workspace
 
 MAGIC = b"TLTOKEN1"
 HEADER = "<8s5Q"
 END_ID = 0
 #: Ids in a block: the unit of a file, of memory and of recovery.
 BLOCK_IDS = 3_000_000
-#: Rows in a range of ids, one task; tasks get larger, not more, beyond the largest number of ranges.
-ROWS_PER_TASK = 20_000
+#: Bytes of text in a range of ids, one task; tasks get larger, not more, beyond the largest number of ranges.
+BYTES_PER_TASK = 64_000_000
 MOST_PARTS = 100_000
 NULL_ID = -(1 << 63)
-#: Words whose ids a worker keeps.
-KEPT_WORDS = 500_000
-# What the tokenizer's pattern takes for white space.
-WHITE = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-WHITE_RE2 = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"     # the same
+#: The table of ids by rank, written before any data file, and the mark of a finished folder, written after all.
+RANKS_FILE, DONE_FILE = "ranks.bin", "_SUCCESS"
 
 
 # Codes ---------------------------------------------------------------------------
@@ -74,98 +73,6 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return ranks
 
 
-# Text to ids -----------------------------------------------------------------------
-
-class WordEncoder:
-    """Ids of whole texts from the tokenizer's ids of their words.
-
-    A single space between two other characters that are not white space always begins
-    a word of the tokenizer's own, so words are encoded once and their ids put
-    together. Texts with other white space around a space, or with the name of a special
-    token, go to the tokenizer whole.
-    """
-
-    def __init__(self, path: str, kept_words: int = KEPT_WORDS):
-        import re
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        names = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = "|".join(["^$", f"^[{WHITE_RE2}]", f"[{WHITE_RE2}]$", *names])
-        self.kept_words = kept_words
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.values = np.zeros(0, dtype=np.uint32)
-        self.starts = np.zeros(0, dtype=np.int64)
-        self.sizes = np.zeros(0, dtype=np.int64)
-
-    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and numbers of ids of texts, by the tokenizer."""
-        sizes, ids = [], []
-        for at in range(0, len(texts), 20_000):
-            for e in self.tokenizer.encode_batch_fast(texts[at:at + 20_000], add_special_tokens=False):
-                own = e.ids
-                sizes.append(len(own))
-                ids += own
-        return np.array(ids, dtype=np.uint32), np.array(sizes, dtype=np.int64)
-
-    def _numbers(self, words: list[str]) -> np.ndarray:
-        """The number of each of some distinct words, as they are after a space."""
-        get = self.number.get
-        found = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
-        new = np.flatnonzero(found < 0)
-        if not len(new):
-            return found
-        if len(self.number) + len(new) > self.kept_words and self.number:
-            self._forget()
-            return self._numbers(words)
-        missing = [words[k] for k in new.tolist()]
-        first = len(self.number)
-        ids, sizes = self._whole([" " + w for w in missing])
-        self.number.update(zip(missing, range(first, first + len(missing))))
-        self.starts = np.concatenate([self.starts, len(self.values) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.values = np.concatenate([self.values, ids])
-        found[new] = np.arange(first, first + len(missing))
-        return found
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, one text after the other, and the number of ids of each text."""
-        cut = batch_words(texts)
-        n = len(texts)
-        odd_words = pc.match_substring_regex(pa.array(cut.words, pa.string()), self.odd)
-        odd_words = odd_words.to_numpy(zero_copy_only=False)
-        numbers = self._numbers(cut.words)
-        at = cut.offsets[:-1]
-        # The first word of a text has no space before it.
-        firsts = [cut.words[k] for k in cut.index[at].tolist()]
-        distinct_firsts = list(dict.fromkeys(firsts))
-        first_ids, first_sizes = self._whole(distinct_firsts)
-        first_number = dict(zip(distinct_firsts, range(len(self.sizes), len(self.sizes) + len(distinct_firsts))))
-        values = np.concatenate([self.values, first_ids])
-        starts = np.concatenate([self.starts, len(self.values) + np.cumsum(first_sizes) - first_sizes])
-        sizes = np.concatenate([self.sizes, first_sizes])
-        index = numbers[cut.index]
-        index[at] = [first_number[w] for w in firsts]
-
-        per_text = np.add.reduceat(sizes[index], at)
-        irregular = np.logical_or.reduceat(odd_words[cut.index], at)
-        if not irregular.any():
-            return gather(values, starts, sizes, index), per_text
-        of_text = np.repeat(np.arange(n), np.diff(cut.offsets))
-        ids = gather(values, starts, sizes, index[~irregular[of_text]])
-        regular = iter(np.split(ids, np.cumsum(per_text[~irregular])[:-1]))
-        rows = np.flatnonzero(irregular).tolist()
-        whole_ids, whole_sizes = self._whole([texts[k].as_py() or "" for k in rows])
-        whole = iter(np.split(whole_ids, np.cumsum(whole_sizes)[:-1]))
-        parts = [next(whole) if odd else next(regular) for odd in irregular.tolist()]
-        return np.concatenate(parts), np.fromiter(map(len, parts), dtype=np.int64, count=n)
-
-
 # Blocks ----------------------------------------------------------------------------
 
 BLOCKS = ("part int, block int, inside long, n_ids long, doc_ids binary, sizes binary, ids binary, used binary, uses binary")
@@ -174,8 +81,9 @@ BLOCKS = ("part int, block int, inside long, n_ids long, doc_ids binary, sizes b
 def token_blocks(docs: DataFrame, tokenizer_path: str, block_ids: int = BLOCK_IDS) -> DataFrame:
     """Encoded documents in ascending order of id, in blocks numbered within range parts.
 
-    Texts are shuffled by ranges of id and sorted; equal ids are ordered by their text, so
-    that a task run again makes the same blocks. One block at a time is held.
+    Texts are shuffled by ranges of id and sorted; equal ids are ordered by a hash of their text and
+    their text, so an id of many texts has many ranges too, and equal rows may stand in any order.
+    A task run again makes the same blocks. One block at a time is held.
     """
     schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("inside", pa.int64()), ("n_ids", pa.int64()),
                         ("doc_ids", pa.binary()),
@@ -214,10 +122,12 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, block_ids: int = BLOCK_ID
         if held:
             yield flush()
 
-    rows = docs.select("doc_id", "text")
-    parts = min(max(cores(docs.sparkSession), -(-rows.count() // ROWS_PER_TASK)), MOST_PARTS)
-    ordered = (rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-               .withColumn("part", F.spark_partition_id()))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = min(max(cores(docs.sparkSession), -(-size // BYTES_PER_TASK)), MOST_PARTS)
+    keyed = rows.withColumns({"text_hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    ordered = (keyed.repartitionByRange(parts, "doc_id", "text_hash", "row").sortWithinPartitions("doc_id", "text_hash", "text")
+               .select("doc_id", "text", F.spark_partition_id().alias("part")))
     return ordered.mapInArrow(run, BLOCKS)
 
 
@@ -253,8 +163,17 @@ def _shared_filesystem(path: str):
     return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 
 
+def _write_file(filesystem, name: str, parts: list) -> None:
+    """A file under another name, then renamed: there is a whole one or none."""
+    attempt = f"{name}.{os.getpid()}-{os.urandom(4).hex()}"
+    with filesystem.open_output_stream(attempt) as out:
+        for part in parts:
+            out.write(part)
+    filesystem.move(attempt, name)
+
+
 def write_files(blocks: DataFrame, ranked: np.ndarray, path: str) -> int:
-    """One file for each block; returns the number of files.
+    """The ids by rank, one file for each block, and the mark that all are there; returns the number of files.
 
     A file is written under another name and renamed, and its name and content follow from
     the block: a task run again or twice leaves the same file. ``path`` is a folder all
@@ -280,20 +199,33 @@ def write_files(blocks: DataFrame, ranked: np.ndarray, path: str) -> int:
                 n_docs = len(row["doc_ids"]) // 8
                 head = struct.pack(HEADER, MAGIC, n_docs, row["n_ids"], row["before"], len(control), len(data))
                 name = posixpath.join(folder, f"tokens-{row['part']:06d}-{row['block']:06d}.bin")
-                attempt = f"{name}.{os.getpid()}-{os.urandom(4).hex()}"
-                with filesystem.open_output_stream(attempt) as out:
-                    for piece in (head, row["doc_ids"], row["sizes"], control, data):
-                        out.write(piece)
-                filesystem.move(attempt, name)
+                _write_file(filesystem, name, [head, row["doc_ids"], row["sizes"], control, data])
                 yield pa.RecordBatch.from_arrays([pa.array([1], pa.int64())], names=["files"])
 
+    filesystem, folder = _shared_filesystem(path)
+    filesystem.create_dir(folder, recursive=True)
+    _write_file(filesystem, posixpath.join(folder, RANKS_FILE), [struct.pack("<8sQ", MAGIC, len(ranked)), ranked.astype("<u4").tobytes()])
     done = placed.mapInArrow(write, "files long")
     with small_batches(blocks.sparkSession, 1):
-        return done.agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
+        n_files = done.agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
+    _write_file(filesystem, posixpath.join(folder, DONE_FILE), [])
+    return n_files
+
+
+def read_ranks(spark: SparkSession, path: str) -> np.ndarray:
+    """The ids by rank of a finished folder: at most as many as the vocabulary has."""
+    if not workspace.is_complete(spark, path):
+        raise ValueError(f"{path} is not a finished folder of token files")
+    content = spark.read.format("binaryFile").load(f"{path.rstrip('/')}/{RANKS_FILE}").select("content").first()[0]
+    magic, n = struct.unpack_from("<8sQ", content)
+    if magic != MAGIC or len(content) != 16 + 4 * n:
+        raise ValueError("not a whole file of ranks")
+    return np.frombuffer(content, "<u4", n, 16)
 
 
-def read_files(spark: SparkSession, path: str, ranked: np.ndarray, doc_id_type: str = "long") -> DataFrame:
-    """``(doc_id, start, n_tokens, ids_crc32)`` of every document, from the files alone."""
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(doc_id, start, n_tokens, ids_crc32)`` of every document, from the files of a finished folder alone."""
+    ranked = read_ranks(spark, path)
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
                         ("ids_crc32", pa.int64())])
     id_of = ranked.astype("<u4")
@@ -308,7 +240,7 @@ def read_files(spark: SparkSession, path: str, ranked: np.ndarray, doc_id_type:
                 [pa.array(doc_ids, mask=doc_ids == NULL_ID), pa.array(start + ends - sizes), pa.array(sizes),
                  pa.array(sums, pa.int64())], schema=schema)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "tokens-*.bin").load(path)
     return files.select("content").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
@@ -325,15 +257,13 @@ def parse(content: memoryview, id_of: np.ndarray) -> tuple[np.ndarray, int, np.n
     return doc_ids, before, sizes, id_of[decode_ranks(control, data, n_ids)]
 
 
-def write_documents(docs: DataFrame, tokenizer_path: str, path: str, block_ids: int = BLOCK_IDS) -> np.ndarray:
-    """Encode and write ``docs (doc_id, text)``; returns the ids by rank, which readers need.
+def write_documents(docs: DataFrame, tokenizer_path: str, path: str, block_ids: int = BLOCK_IDS) -> int:
+    """Encode and write ``docs (doc_id, text)``; returns the number of data files.
 
     Every row is a document, in ascending order of id: null ids first, rows of one id by
-    their text. Null and empty texts have the end id only. Other columns are ignored; an
-    empty table writes no file.
+    a hash of their text, then their text. Null and empty texts have the end id only. Other columns are ignored; an
+    empty table writes no data file, and the folder reads as an empty table.
     """
     with small_batches(docs.sparkSession, 2000):
         blocks = stored(token_blocks(docs, tokenizer_path, block_ids), "blocks", compression="zstd")
-    ranked = ranked_ids(blocks)
-    write_files(blocks, ranked, path)
-    return ranked
+    return write_files(blocks, ranked_ids(blocks), path)

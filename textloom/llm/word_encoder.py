@@ -12,6 +12,7 @@ model without another pass of the pattern. Other words go through the whole toke
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import re
@@ -100,28 +101,24 @@ class WordEncoder:
         """Ids and numbers of ids of runs and words, with the space before them if there is one."""
         if self.merge is None or not runs:
             return self.whole(runs)
-        single = pc.match_substring_regex(pa.array(runs, pa.string()), f"^(?:{_RUN})$").to_pylist()
-        merge, space = self.merge, self.characters[32]
-        ids, sizes, other = [], np.zeros(len(runs), dtype=np.int64), []
-        for k, run in enumerate(runs):
-            if not single[k]:
-                other.append(k)
-                continue
-            if run.isascii() and run != "\n":
-                tokens = merge(space + run[1:] if run[0] == " " else run)
-            else:
-                tokens = merge(run.encode().decode("latin-1").translate(self.characters))
-            ids += [t.id for t in tokens]
-            sizes[k] = len(tokens)
-        values = np.array(ids, dtype=np.uint32)
-        if not other:
+        single = pc.match_substring_regex(pa.array(runs, pa.string()), f"^(?:{_RUN})$").to_numpy(zero_copy_only=False)
+        merge, space, characters = self.merge, self.characters[32], self.characters
+        plain = [(space + r[1:] if r[0] == " " else r) if r.isascii() and r != "\n" else r.encode().decode("latin-1").translate(characters)
+                 for r in itertools.compress(runs, single)]
+        parts, counts = [], []
+        for at in range(0, len(plain), 20_000):
+            found = list(map(merge, plain[at:at + 20_000]))
+            counts += map(len, found)
+            parts.append(np.fromiter((t.id for tokens in found for t in tokens), np.uint32, sum(counts[at:])))
+        values = np.concatenate([np.zeros(0, dtype=np.uint32), *parts])
+        sizes = np.zeros(len(runs), dtype=np.int64)
+        sizes[single] = counts
+        if single.all():
             return values, sizes
-        more, sizes[other] = self.whole([runs[k] for k in other])
-        is_other = np.zeros(len(runs), dtype=bool)
-        is_other[other] = True
+        more, sizes[~single] = self.whole(list(itertools.compress(runs, ~single)))
         out = np.zeros(len(values) + len(more), dtype=np.uint32)
-        of_other = np.repeat(is_other, sizes)
-        out[of_other], out[~of_other] = more, values
+        of_single = np.repeat(single, sizes)
+        out[of_single], out[~of_single] = values, more
         return out, sizes
 
     def word_ids(self, words: pa.Array, before: str) -> tuple[np.ndarray, np.ndarray]:
