@@ -35,8 +35,8 @@ from textloom.llm.word_encoder import WordEncoder, vocabulary_bytes
 SPACE = "▁"
 NORMAL, BYTE = 1, 6
 #: Bytes of text encoded at once, and words of documents in a block.
-SLICE_BYTES = 1_500_000
-BLOCK_WORDS = 1_000_000
+SLICE_BYTES = 1_000_000
+BLOCK_WORDS = 400_000
 #: Words whose alignment a worker keeps: at most so many, and none longer.
 KEPT_WORDS = 120_000
 LONGEST_KEPT = 100
