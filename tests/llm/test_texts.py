@@ -65,6 +65,23 @@ def test_held_out_rows_are_not_fitted_on(spark):
     assert qt.training_sample(docs, labels, sample_rows=7).count() == 7
 
 
+def test_an_id_of_many_texts_does_not_fill_the_sample(spark):
+    """The bound is on rows, and documents are read where they are: only hashes and sampled rows are exchanged."""
+    one = next(k for k in range(20) if zlib.crc32(str(k).encode()) % 3 != 1)
+    many = [(one, f"text {k} of one id", 1) for k in range(5000)] + [(one, "the same", 1)] * 50 + [(k, f"other {k}", 0) for k in range(20, 60)]
+    docs = spark.createDataFrame(many, "doc_id long, text string, x int").repartition(4)
+    labels = docs.select("doc_id", F.col("x").alias("quality")).distinct()
+    for rows in (3, 100):
+        sample = qt.training_sample(docs, labels, rows)
+        assert sample.count() == rows
+    everything = qt.training_sample(docs, labels, 20_000).collect()
+    used = {r["doc_id"] for r in labels.where(~qt.held_out(F.col("doc_id"))).collect()}
+    assert sorted(r["text"] for r in everything) == sorted({t for d, t, _ in many if d in used})
+    plan = qt.labelled_texts(docs, labels, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert qt.training_sample(docs.limit(0), labels, 100).count() == 0
+
+
 def test_odd_texts_have_scores(spark):
     docs = frame(spark, ODD).unionByName(spark.createDataFrame([(None, "x"), (3, "\n")], "doc_id long, text string"))
     none = spark.createDataFrame([(None, 1, 0), (4, None, 1), (999, 1, 0)], "doc_id long, quality int, toxic int")
@@ -491,6 +508,11 @@ def test_lines_that_fail(spark):
              "Accept cookies to go on with this page.": 0, "Menu": 0, "A title of this": 4, "End.": 1, "": 0}
     got = spark.createDataFrame([(k,) for k in lines], "line string").select("line", lr.kept_words(F.col("line")).alias("n"))
     assert {r["line"]: r["n"] for r in got.collect()} == lines
+    prose = "They keep a catalog in the hall, and the design update was read more than once by all who came to see it."
+    lines = {prose: 23, "catalog in and design update were here.": 7, "Please log in.": 0, "Now: click here!": 0, "xclick here is a word of it.": 7,
+             "Read more about this in the long report that was sent to all of us who asked for it.": 19}
+    got = spark.createDataFrame([(k,) for k in lines], "line string").select("line", lr.kept_words(F.col("line")).alias("n"))
+    assert {r["line"]: r["n"] for r in got.collect()} == lines
     text = "\n".join([good, "Home | News | About | Contact", "", good])
     cleaned = spark.createDataFrame([(text,)], "text string").select(lr.clean_text(F.col("text"))).first()[0]
     assert cleaned == "\n".join([good, "", good])

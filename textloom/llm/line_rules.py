@@ -25,6 +25,10 @@ BOILERPLATE = (
     "click here", "read more", "sign up", "log in", "subscribe to our", "share on facebook", "share on twitter",
     "enable javascript", "javascript is disabled", "skip to content", "back to top", "powered by", "lorem ipsum",
 )
+#: A phrase fails lines of up to so many words: in longer ones it is a part of a sentence.
+SHORT_LINE = 12
+LETTER = "a-z\u00df-\u00f6\u00f8-\u00ff"
+PHRASE = f"(^|[^{LETTER}])({'|'.join(BOILERPLATE)})([^{LETTER}]|$)"
 
 
 def words(text: Column) -> Column:
@@ -83,18 +87,15 @@ def bad_punctuation(line: Column, n_words: Column) -> Column:
     return short | ((marks >= 3) & (marks * 3 >= n_words))
 
 
-def boilerplate(line: Column) -> Column:
-    lowered = F.lower(line)
-    found = F.lit(False)
-    for phrase in BOILERPLATE:
-        found = found | F.contains(lowered, F.lit(phrase))
-    return found
+def boilerplate(line: Column, n_words: Column) -> Column:
+    """A short line that holds a phrase of page furniture, as words of its own."""
+    return (n_words <= SHORT_LINE) & F.lower(line).rlike(PHRASE)
 
 
 def kept_words(line: Column) -> Column:
     """Words of a line, 0 if the line fails."""
     return let(_count(line, WORD), lambda n: F.when(
-        navigation(line, n) | bad_punctuation(line, n) | boilerplate(line), 0).otherwise(n))
+        navigation(line, n) | bad_punctuation(line, n) | boilerplate(line, n), 0).otherwise(n))
 
 
 def lines_of(text: Column) -> Column:

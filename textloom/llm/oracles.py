@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.llm.line_rules import BOILERPLATE
+from textloom.llm.line_rules import PHRASE, SHORT_LINE
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -45,13 +45,12 @@ from placed
 """
 
 _LINE_WORDS = rf"len(regexp_extract_all(l, '{_WORD}'))"
-_PHRASES = " or ".join(f"contains(lower(l), '{p}')" for p in BOILERPLATE)
 _BARS = "len(regexp_extract_all(l, '[|»›•]'))"
 _MARKS = "len(regexp_extract_all(l, '[#*$%&<>]+|!!+'))"
 _FAILS = rf"""(({_BARS} >= 3 and {_BARS} * 3 >= {_LINE_WORDS})
      or ({_LINE_WORDS} < 3 and not regexp_matches(l, '[.!?:;…"'')»”][\x20\x09-\x0D]*$'))
      or ({_MARKS} >= 3 and {_MARKS} * 3 >= {_LINE_WORDS})
-     or {_PHRASES})"""
+     or ({_LINE_WORDS} <= {SHORT_LINE} and regexp_matches(lower(l), '{PHRASE}')))"""
 
 ORACLES["op10_line_rules"] = rf"""
 with texts as (

@@ -133,20 +133,36 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``(text, quality)`` of at most ``sample_rows`` labelled rows that are not held out.
+def labelled_texts(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``(h, text, quality)`` of the documents of at most ``sample_rows`` labelled ids that are not held out.
 
-    The ids with the least hashes; the labels alone decide, so only their documents
-    are read. An id with several labels has their rounded mean.
+    The ids with the least hashes; the labels alone decide which. They are broadcast, at most ``sample_rows`` of
+    them, so the documents are read where they are. ``h`` is a hash of id and text. An id with several labels has
+    their rounded mean.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = (usable.groupBy("doc_id").agg(F.round(F.avg("quality")).cast("int").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
-    return docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "quality")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return rows.select(F.xxhash64("doc_id", "text").alias("h"), "text", "quality")
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``(text, quality)`` of at most ``sample_rows`` rows to fit on: of all texts of the chosen ids, those of the least hashes.
+
+    Rows of one id and text are one. An id may have any number of texts: first the hashes are read, then the
+    texts of those that stay.
+    """
+    rows = labelled_texts(docs, labels, sample_rows)
+    least = [r["h"] for r in rows.select("h").distinct().orderBy("h").limit(sample_rows).collect()]
+    if not least:
+        return rows.select("text", "quality").limit(0)
+    return rows.where(F.col("h") <= least[-1]).groupBy("h").agg(
+        F.first("text").alias("text"), F.first("quality").alias("quality")).select("text", "quality")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees:
-    """Trees fitted on the statistics of the sample: a bounded table of numbers comes to the driver."""
+    """Trees fitted on the statistics of the sample: at most ``sample_rows`` rows of numbers come to the driver."""
     measure = F.pandas_udf(lambda texts: pd.Series([statistics(t) for t in texts]), "array<double>")
     sample = training_sample(docs, labels, sample_rows)
     fitted = (sample.select(measure("text").alias("x"), "quality").toPandas()
