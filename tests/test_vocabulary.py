@@ -1,15 +1,16 @@
 """Learning, encoding and decoding."""
 
+import heapq
 import json
 import random
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from textloom.config import SPECIAL_TOKENS, VocabularyConfig
 from textloom.functions import sequences as seq
-from textloom.operators import encode, word_stats
-from textloom.operators import learn as learn_module
+from textloom.operators import encode, pair_index, word_stats
 from textloom.operators.learn import PairRanking, Round, learn_bpe
 from textloom.operators.model import BpeModel
 from textloom.plans import tokenizer
@@ -107,7 +108,7 @@ def test_no_words(spark):
 def test_rounds_equal_one_merge_at_a_time(spark, seed, letters, limit):
     corpus = random_corpus(seed, letters)
     expected = one_at_a_time(corpus, 45)
-    got = learn(spark, corpus, 45, ranked_pairs=limit, rounds_per_table=2)
+    got = learn(spark, corpus, 45, ranked_pairs=limit, merges_per_index=9)
     assert got == expected
 
 
@@ -264,23 +265,90 @@ def test_shifted_pairs(spark):
     assert (row.i, row.t, row.m, row.n) == ([2, 5, 6], [5, 6, 1], [True, True, True, False], 3)
 
 
-@pytest.mark.parametrize("words_per_file", [100_000, 40])
-def test_rounds_rewrite_changed_words_only(spark, monkeypatch, words_per_file):
-    """Merges equal those of plain learning with one file and with many; few words are rewritten."""
-    monkeypatch.setattr(learn_module, "_WORDS_PER_FILE", words_per_file)
-    rewritten = []
-    advance = learn_module._WordState.advance
-
-    def counted_advance(state, replacements, count_changes):
-        changes = advance(state, replacements, count_changes)
-        rewritten.append(state.changed.count())
-        return changes
-
-    monkeypatch.setattr(learn_module._WordState, "advance", counted_advance)
+@pytest.mark.parametrize("words_per_file, merges_per_index", [(100_000, 1_000), (40, 1_000), (40, 11)])
+def test_rounds_read_the_postings_of_their_pairs(spark, monkeypatch, words_per_file, merges_per_index):
+    """Merges equal those of plain learning with one file and with many; few postings are read."""
+    monkeypatch.setattr(pair_index, "WORDS_PER_FILE", words_per_file)
     rng = random.Random(3)
     corpus = random_corpus(5, "abcdefgh", n_words=400) + [" ".join(
         "".join(rng.choices("stuvwxyz", k=6)) for _ in range(300))]
-    n_words = word_stats.word_counts(texts(spark, corpus)).count()
-    model = learn(spark, corpus, 130, rounds_per_table=4)
+    counted = word_stats.word_counts(texts(spark, corpus))
+    rounds = []
+    model = learn_bpe(counted, VocabularyConfig(130, merges_per_index=merges_per_index), rounds.append)
     assert model.merges == one_at_a_time(corpus, 130).merges
-    assert len(rewritten) > 8 and sum(rewritten) < 0.6 * n_words * len(rewritten)
+    n_postings = sum(len({*zip(w, w[1:])}) for w in (r.word for r in counted.collect()))
+    assert len(rounds) > 8 and sum(r.merges for r in rounds) == len(model.merges)
+    assert sum(r.postings_read for r in rounds) < 0.1 * n_postings * len(rounds)
+
+
+def test_waiting_merges_give_the_present_word():
+    rng = random.Random(7)
+    for _ in range(200):
+        word, merges, state = "".join(rng.choices("abc", k=rng.randrange(1, 14))), [], None
+        state = word
+        for new in "ABCDEFGH":
+            pairs = {x + y for x, y in zip(state, state[1:])} - {pair for pair, _ in merges}
+            if not pairs:
+                break
+            merges.append((rng.choice(sorted(pairs)), new))
+            state = state.replace(*merges[-1])
+        ranks = {pair: k for k, (pair, _) in enumerate(merges)}
+        assert pair_index.merged_word(word, ranks, dict(enumerate(merges))) == state
+
+
+def fast_one_at_a_time(counts, size):
+    """Plain learning with pair counts and positions kept up, one merge after the other."""
+    tokens = [*SPECIAL_TOKENS, *sorted({c for w in counts for c in w})]
+    ids = {t: i for i, t in enumerate(tokens)}
+    states = [([ids[c] for c in w], n) for w, n in counts.items()]
+    pairs, where = Counter(), defaultdict(set)
+    for k, (state, n) in enumerate(states):
+        for pair in zip(state, state[1:]):
+            pairs[pair] += n
+            where[pair].add(k)
+    heap = [(-n, pair) for pair, n in pairs.items()]
+    heapq.heapify(heap)
+    merges = []
+    while heap and len(merges) < size:
+        n, best = heapq.heappop(heap)
+        if pairs[best] != -n or not n:
+            if pairs[best]:
+                heapq.heappush(heap, (-pairs[best], best))
+            continue
+        text = tokens[best[0]] + tokens[best[1]]
+        new = ids.setdefault(text, len(tokens))
+        if new == len(tokens):
+            tokens.append(text)
+        merges.append((*best, new))
+        touched = set()
+        for k in where.pop(best):
+            state, count = states[k]
+            for pair in zip(state, state[1:]):
+                pairs[pair] -= count
+            i = 0
+            while i < len(state) - 1:
+                if (state[i], state[i + 1]) == best:
+                    state[i:i + 2] = [new]
+                i += 1
+            for pair in zip(state, state[1:]):
+                pairs[pair] += count
+                where[pair].add(k)
+                touched.add(pair)
+        for pair in touched:
+            if pairs[pair]:
+                heapq.heappush(heap, (-pairs[pair], pair))
+    return merges
+
+
+def test_thousands_of_merges(spark):
+    """5,000 merges over the words of a table equal those of plain learning."""
+    counted = word_stats.word_counts(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    counts = {r.word: r.cnt for r in counted.collect()}
+    expected = fast_one_at_a_time(counts, 5_000)
+    assert len(expected) == 5_000
+    n_chars = len({c for w in counts for c in w})
+    rounds = []
+    model = learn_bpe(counted, VocabularyConfig(len(SPECIAL_TOKENS) + n_chars + 5_000, ranked_pairs=4_096), rounds.append)
+    assert list(model.merges) == expected
+    n_postings = sum(len({*zip(w, w[1:])}) for w in counts)
+    assert sum(r.postings_read for r in rounds) < 0.05 * n_postings * len(rounds)

@@ -35,15 +35,14 @@ class CorpusConfig:
 class VocabularyConfig:
     """Vocabulary learning.
 
-    ``ranked_pairs`` bounds the pair ranking held by the driver; any value gives
-    the same merges. ``rounds_per_table`` is how many rounds may pass before the
-    word state is written out and its lineage dropped.
+    ``ranked_pairs`` bounds the pair ranking held by the driver, and ``merges_per_index`` the
+    merges that wait until the index of words is written anew; any values give the same merges.
     """
 
     vocab_size: int = 32_000
     min_frequency: int = 0
     ranked_pairs: int = 1_024
-    rounds_per_table: int = 10
+    merges_per_index: int = 1_000
 
 
 @dataclass(frozen=True)

@@ -1,8 +1,9 @@
 """Learning merges as a series of Spark jobs over the word-count table.
 
 Each round takes the longest run of top-ranked pairs whose merges cannot influence
-each other, applies them to all words at once and brings back how the counts of the
-few pairs that matter have changed. The result equals one merge at a time:
+each other, applies them at once to the words that an inverted index finds for them
+(:mod:`textloom.operators.pair_index`), and brings back how the counts of the few pairs
+that matter have changed. The result equals one merge at a time:
 
 * Merging ``(a, b)`` changes the count of an old pair only if that pair ends in
   ``a`` or starts with ``b``. A round stops before such a pair, so the counts of
@@ -14,28 +15,24 @@ few pairs that matter have changed. The result equals one merge at a time:
 
 The driver keeps a bounded ranking of the best pairs. Pairs outside it rank behind
 its boundary for good: counts of old pairs only fall, and new pairs are reported by
-the round that makes them. Once the ranking is used up, all pairs are counted again.
+the round that makes them. Once the ranking is used up, or many merges wait, the index is
+written anew and all pairs are counted again.
 """
 
 from __future__ import annotations
 
-import math
+import time
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from textloom.config import SPECIAL_TOKENS, VocabularyConfig
 from textloom.operators.model import BpeModel
-from textloom.operators.word_stats import (
-    ADJACENT_PAIRS_SQL, as_symbols, best_pairs, collect_alphabet, merge_expression, pair_counts,
-    sql_text, symbol, token_id)
-from textloom.sources.workspace import remove, scratch_path
+from textloom.operators.pair_index import PairIndex
+from textloom.operators.word_stats import as_symbols, best_pairs, collect_alphabet, symbol, token_id
 
 _MAX_PAIRS_PER_ROUND = 64
-_WORDS_PER_FILE = 100_000
-_FILE_BYTES = "4m"          # a file of so many words is smaller
-_SEPARATOR = "\0"           # never a symbol
-_STATE_SCHEMA = "s string, cnt bigint"
 
 
 def _rank_key(pair: str, count: int) -> tuple[int, str]:
@@ -125,133 +122,17 @@ class Round:
         return [(pair, symbol(new_id)) for pair, new_id in self.merges]
 
 
-def _count_changes(merged: DataFrame, merged_pairs: list[str], first_new: str,
-                   neighbours: list[str], lowest_count: int) -> list[tuple[str, int]]:
-    """Changed counts of the neighbours, and counts of new pairs that can rank.
+@dataclass(frozen=True)
+class RoundReport:
+    """What a round did."""
 
-    Only words that a merge has changed take part. Pairs that cannot have changed are
-    dropped before they are summed, and those that do not rank before they come back.
-    Expressions are written as SQL: a round is short, and the time to put a plan
-    together counts. For the same reason the count limit is lowered to a power of two;
-    most rounds then find their code compiled.
-
-    What comes back is bounded: the neighbours are in the ranking, and a new pair ``(x, ab)`` or
-    ``(ab, y)`` needs an old one ``(x, a)`` or ``(b, y)`` of at least its count, so there are at
-    most two new pairs for each merge and each old pair of that count.
-    """
-    limit = 1 << (lowest_count.bit_length() - 1)
-    new = sql_text(first_new)
-    lefts, rights = (sql_text("".join({pair[side] for pair in merged_pairs})) for side in (0, 1))
-    listed = sql_text("".join(_SEPARATOR + pair for pair in neighbours))
-    changes = (
-        merged.where("old <> s")
-        .selectExpr("explode(array(struct(old AS s, -cnt AS n), struct(s, cnt AS n))) AS side")
-        .selectExpr(f"explode({ADJACENT_PAIRS_SQL.format('side.s')}) AS pair", "side.n AS n")
-        .where(f"""left(pair, 1) >= {new} OR right(pair, 1) >= {new}
-                   OR instr({rights}, left(pair, 1)) > 0 OR instr({lefts}, right(pair, 1)) > 0""")
-        .groupBy("pair").agg(F.expr("sum(n) AS n"))
-        .where(f"""n >= {limit}
-                   OR (n < 0 AND instr({listed}, concat({sql_text(_SEPARATOR)}, pair)) > 0)""")
-    )
-    return [(row.pair, row.n) for row in changes.collect()]
-
-
-class _WordState:
-    """Symbol strings with their counts: a written table, and the words changed since then.
-
-    A word of the written table that holds no pair merged since then is as it was; which
-    these are is told from the word itself. The others are in a small cached table that
-    each round replaces: only they are merged, counted and rewritten. Every few
-    rounds both become a new written table, which cuts the lineage. Words of a single
-    symbol have no pairs left and go.
-
-    Rounds run in a session of their own. What they shuffle is already summed per
-    task and filtered.
-    """
-
-    def __init__(self, states: DataFrame, n_words: int, rounds_per_table: int) -> None:
-        self.spark = states.sparkSession
-        self.files = max(math.ceil(n_words / _WORDS_PER_FILE), 1)
-        self.round_session = self.spark.newSession()
-        cores = self.spark.sparkContext.defaultParallelism
-        for key, value in _round_settings(self.files, cores).items():
-            self.round_session.conf.set(key, value)
-        self.rounds_per_table = rounds_per_table
-        self.merged_pairs: list[str] = []
-        self.rounds = 0
-        self.path: str | None = None
-        self.base: DataFrame | None = None
-        self.changed: DataFrame | None = None
-        self._write_out(states.repartition(self.files))
-
-    def _write_out(self, states: DataFrame) -> None:
-        path = scratch_path(self.spark, "word-state")
-        states.write.parquet(path)
-        self.close()
-        self.path = path
-        self.base = self.round_session.read.schema(_STATE_SCHEMA).parquet(path)
-        self.merged_pairs = []
-        self.rounds = 0
-
-    def _unchanged(self) -> DataFrame:
-        return self.base.where(f"NOT ({_holds_any(self.merged_pairs)})") if self.merged_pairs else self.base
-
-    def _current(self) -> DataFrame:
-        if self.changed is None:
-            return self.base
-        words = self._unchanged().unionByName(self.changed.where("length(s) > 1").select("s", "cnt"))
-        return words.coalesce(self.files)
-
-    def all_pairs(self) -> DataFrame:
-        """Counts of all pairs, with the shuffle settings of the caller's session."""
-        if self.rounds:
-            self._write_out(self._current())
-        return pair_counts(self.spark.read.schema(_STATE_SCHEMA).parquet(self.path))
-
-    def advance(self, replacements: list[tuple[str, str]], count_changes) -> list[tuple[str, int]]:
-        """Apply merges; ``count_changes`` reads the changed words before and after."""
-        if self.rounds >= self.rounds_per_table:
-            self._write_out(self._current())
-        pairs = [pair for pair, _ in replacements]
-        words = self._unchanged().where(_holds_any(pairs))
-        if self.changed is not None:
-            words = words.unionByName(self.changed.where("length(s) > 1").select("s", "cnt"))
-        if self.files == 1:
-            # Known to be one partition, rounds need no shuffle.
-            words = words.coalesce(1)
-        merged = words.selectExpr("s AS old", f"{merge_expression('s', replacements)} AS s", "cnt").persist()
-        changes = count_changes(merged)
-        before, self.changed = self.changed, merged
-        if before is not None:
-            before.unpersist()
-        self.merged_pairs += pairs
-        self.rounds += 1
-        return changes
-
-    def close(self) -> None:
-        if self.changed is not None:
-            self.changed.unpersist()
-            self.changed = None
-        if self.path is not None:
-            remove(self.spark, self.path)
-            self.path = None
-
-
-def _holds_any(pairs: list[str]) -> str:
-    """SQL: the word holds one of the pairs. Symbols never overlap, so this is a search in the string."""
-    return " OR ".join(f"instr(s, {sql_text(pair)}) > 0" for pair in pairs)
-
-
-def _round_settings(files: int, cores: int) -> dict[str, str]:
-    """One task per file of words; shuffles, of sums only, grow with the files beyond what the cores need."""
-    return {
-        "spark.sql.shuffle.partitions": str(max(1, min(files, cores), files // 64)),
-        "spark.sql.files.maxPartitionBytes": _FILE_BYTES,
-        "spark.sql.files.openCostInBytes": _FILE_BYTES,
-    }
+    merges: int
+    postings_read: int
+    seconds: float
 
 
-def learn_bpe(counted: DataFrame, config: VocabularyConfig) -> BpeModel:
+def learn_bpe(counted: DataFrame, config: VocabularyConfig,
+              on_round: Callable[[RoundReport], None] | None = None) -> BpeModel:
     """Learn a vocabulary from word counts ``(word, cnt)``.
 
     Ids: the special tokens, the alphabet in code-point order, then merges as they
@@ -259,6 +140,7 @@ def learn_bpe(counted: DataFrame, config: VocabularyConfig) -> BpeModel:
     rarer than ``min_frequency``. The alphabet is never cut.
 
     ``counted`` is read several times; give a written table rather than a long plan.
+    ``on_round`` is told what each round did.
     """
     alphabet = collect_alphabet(counted)
     tokens = [*SPECIAL_TOKENS, *alphabet]
@@ -268,22 +150,21 @@ def learn_bpe(counted: DataFrame, config: VocabularyConfig) -> BpeModel:
     if len(tokens) >= config.vocab_size or not alphabet:
         return BpeModel(tuple(tokens), ())
 
-    states = as_symbols(counted, alphabet).filter(F.length("s") > 1).select("s", "cnt")
-    state = _WordState(states, counted.count(), config.rounds_per_table)
+    states = as_symbols(counted, alphabet).select("s", "cnt")
+    index = PairIndex(states, counted.count())
     ranking = PairRanking(config.ranked_pairs)
     try:
         while len(tokens) < config.vocab_size:
-            if ranking.stale or not ranking.counts:
-                if not ranking.stale and ranking.boundary is None:
+            if ranking.stale or not ranking.counts or len(index.merges) >= config.merges_per_index:
+                if not ranking.stale and ranking.boundary is None and not ranking.counts:
                     break
-                top = best_pairs(state.all_pairs(), ranking.limit).collect()
+                top = best_pairs(index.all_pairs(), ranking.limit).collect()
                 ranking.refill([(row.pair, row.n) for row in top])
+            started = time.perf_counter()
             step = Round(ranking, tokens, ids, config.vocab_size - len(tokens), threshold)
             if not step.merges:
                 break
-            first_new, near = symbol(len(tokens)), ranking.neighbours(step.pairs)
-            changes = state.advance(step.replacements, lambda merged: _count_changes(
-                merged, step.pairs, first_new, near, ranking.lowest_count))
+            changes, n_read = index.merge(step.replacements, ranking.neighbours(step.pairs), ranking.lowest_count)
             for pair, new_id in step.merges:
                 merges.append((token_id(pair[0]), token_id(pair[1]), new_id))
             for text in step.new_tokens:
@@ -293,6 +174,8 @@ def learn_bpe(counted: DataFrame, config: VocabularyConfig) -> BpeModel:
                 ranking.stale = True
             else:
                 ranking.update(step.pairs, changes)
+            if on_round is not None:
+                on_round(RoundReport(len(step.merges), n_read, time.perf_counter() - started))
     finally:
-        state.close()
+        index.close()
     return BpeModel(tuple(tokens), tuple(merges))
