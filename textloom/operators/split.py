@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,21 +62,49 @@ def _up_to(row, keys: Sequence[str]) -> Column:
     return here <= there
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """A hash over all columns of a row, nulls included."""
+    return F.md5(F.to_json(F.struct(*[F.col(f"`{name}`") for name in df.columns]), {"ignoreNullFields": "false"}).cast("binary"))
+
+
+def _first_rows(df: DataFrame, keys: Sequence[str], seed: int, rank: int) -> Column:
+    """True for the first ``rank`` rows in seeded order; expects the columns ``_hash`` and ``_row`` of the labelled table.
+
+    Rows of equal keys on both sides of the cut are told apart by a hash of all their columns. Rows equal in
+    all columns cannot be, and are an error if the cut goes through them.
+    """
+    hashed = df.select(*keys, seeded_hash(keys, seed).alias("_hash"))
+    cut = _row_at(hashed, keys, rank) if rank else None
+    inside = _up_to(cut, keys)
+    if cut is None:
+        return inside
+    beyond = hashed.filter(inside).count() - rank
+    if not beyond:
+        return inside
+    tied = reduce(and_, [F.col(k).eqNullSafe(F.lit(cut[k])) for k in keys])
+    rows = df.filter(tied).select(_row_hash(df).alias("_hash"))
+    n_inside = rows.count() - beyond
+    last = _row_at(rows, [], n_inside)["_hash"]
+    if rows.filter(F.col("_hash") <= last).count() != n_inside:
+        raise ValueError("rows that are equal in all columns stand on both sides of the cut between splits")
+    return (inside & ~tied) | (tied & (F.col("_row") <= last))
+
+
 def train_test_split(df: DataFrame, keys: Sequence[str], train_ratio: float, test_ratio: float,
                      seed: int) -> DataFrame:
     """Add ``split``: the first rows in seeded random order are ``test``, the next ``train``.
 
-    ``keys`` must be unique. Sizes are exact. Only the keys are read to find the
+    Sizes are exact, also where ``keys`` repeat: then all columns of a row decide on which side of the cut it stands
+    (an error if rows on both sides are equal in all of them). Only the keys are read to find the
     row at which to cut; the rows themselves are not shuffled.
     """
-    hashed_keys = df.select(*keys, seeded_hash(keys, seed).alias("_hash"))
     n_rows = count_rows(df.select(*keys))
     n_train, n_test = split_sizes(n_rows, train_ratio, test_ratio)
-    last_test = _row_at(hashed_keys, keys, n_test) if n_test else None
-    labelled = F.when(_up_to(last_test, keys), "test")
+    labelled = F.when(_first_rows(df, keys, seed, n_test), "test")
     if n_train + n_test < n_rows:
-        labelled = labelled.when(_up_to(_row_at(hashed_keys, keys, n_train + n_test), keys), "train")
+        labelled = labelled.when(_first_rows(df, keys, seed, n_train + n_test), "train")
     else:
         labelled = labelled.otherwise("train")
-    out = df.withColumn("_hash", seeded_hash(keys, seed)).withColumn(SPLIT, labelled).drop("_hash")
+    out = (df.withColumns({"_hash": seeded_hash(keys, seed), "_row": _row_hash(df)})
+           .withColumn(SPLIT, labelled).drop("_hash", "_row"))
     return out.filter(F.col(SPLIT).isNotNull()) if n_train + n_test < n_rows else out

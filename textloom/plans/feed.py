@@ -11,6 +11,7 @@ from textloom.config import CorpusConfig, FeedConfig
 from textloom.operators.arrange import assign_batches, assign_ranks, batch_matrix
 from textloom.operators.positions import POSITION, count_rows, hash_positions, key_positions
 from textloom.sources.tables import SHARD, SPLIT, read_splits
+from textloom.sources.workspace import is_current, manifest, record
 
 INPUT_IDS = "input_ids"
 
@@ -38,11 +39,19 @@ def rank_batches(rows: DataFrame, keys: Sequence[str], seed: int, epoch: int, wo
 
 def write_epoch(spark: SparkSession, root: str, target: str, epoch: int, world_size: int, corpus: CorpusConfig,
                 feed: FeedConfig, splits: Sequence[str] = ("train", "test")) -> None:
-    """Write the batches of every split and rank for one epoch, one directory for each."""
+    """Write the batches of every split and rank for one epoch, one directory for each.
+
+    A split whose batches were made of the same rows and settings is left as it is.
+    """
     for split in splits:
+        place = f"{target}/epoch={epoch}/split={split}"
+        made_of = manifest(spark, upstream=[root], seed=corpus.seed, epoch=epoch, world_size=world_size, batch_size=feed.batch_size)
+        if is_current(spark, place, made_of):
+            continue
         rows, keys = tokenized_split(spark, root, split)
         fed = rank_batches(rows, keys, corpus.seed, epoch, world_size, feed.batch_size)
-        fed.write.mode("overwrite").partitionBy("rank").parquet(f"{target}/epoch={epoch}/split={split}")
+        fed.write.mode("overwrite").partitionBy("rank").parquet(place)
+        record(spark, place, made_of)
 
 
 def read_rank(spark: SparkSession, target: str, epoch: int, split: str, rank: int) -> DataFrame:

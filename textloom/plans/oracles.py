@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from textloom.operators.permutation import HASH_DIGITS, ROUNDS
 from textloom.plans.queries import (
     CORPUS, EPOCH, FEED, LEARNED_MERGES, PROMPT_CHARS, SHARD_ROWS, WORLD_SIZE)
 
@@ -212,6 +213,8 @@ _add("scan_splits", "select split, doc_id, part_idx, text from labelled", CHUNKS
 _add("scan_shard", "select doc_id, part_idx, text from sharded where split = 'test' and shard_id = 0",
      CHUNKS, HASHED, SPLIT, SHARDS)
 _add("write_splits", "select split, doc_id, part_idx, text from labelled", CHUNKS, HASHED, SPLIT)
+_add("named_shards", "select split, split || '_shard_' || shard_id || '.parquet' as file, doc_id, part_idx, text from sharded",
+     CHUNKS, HASHED, SPLIT, SHARDS)
 _add("shard_assign", f"""select doc_id, part_idx, pos,
   (ntile(ceil((select count(*) from chunks) / {SHARD_ROWS})::bigint) over (order by doc_id, part_idx)) - 1 as shard_id
 from ordered""", CHUNKS, ORDERED)
@@ -281,6 +284,27 @@ _add("rank_shards", "select doc_id, part_idx, pos, rank::integer as rank, rank_p
 _add("rank_sizes", "select rank::integer as rank, count(*) as n_rows from ranked group by rank",
      CHUNKS, HASHED, RANKED)
 
+
+
+def _network() -> str:
+    """One pass of the keyed permutation over the numbers that are no positions yet."""
+    state = "select pos, k, n, a, b, x // b as l, x % b as r from walk, size where k = 0 or x >= n"
+    for k in range(ROUNDS):
+        def added(digit: str) -> str:
+            return f"('0x' || substr(md5('{CORPUS.seed}:{EPOCH}:{k}:' || {digit}), 1, {HASH_DIGITS}))::bigint"
+        turned = f"l, (r + {added('l')}) % b as r" if k % 2 else f"(l + {added('r')}) % a as l, r"
+        state = f"select pos, k, n, a, b, {turned} from ({state})"
+    return state
+
+
+_WALK = f"""dims as (select count(*) as n, ceil(sqrt(count(*)))::bigint as a from ordered),
+size as (select n, a, (n + a - 1) // a as b from dims),
+walk as (select pos, pos as x, 0 as k from ordered
+  union all select pos, l * b + r, k + 1 from ({_network()}))"""
+ORACLES["epoch_bijection"] = "with recursive " + ",\n".join([CHUNKS, ORDERED, _WALK]) + f"""
+select doc_id, part_idx, pos, x as epoch_pos, (x % {WORLD_SIZE})::integer as rank, x // {WORLD_SIZE} // {FEED.batch_size} as batch_id
+from walk join ordered using (pos), size where k > 0 and x < n"""
+
 # Vocabulary
 _add("pre_tokenize", "select doc_id, part_idx, word_idx, word from words", CHUNKS, WORDS)
 _add("word_counts", "select word, cnt from counted", CHUNKS, WORDS, COUNTS)
@@ -355,6 +379,7 @@ _FED = f"""fed as (
 _add("feed_batches", f"""select split, pos // {FEED.batch_size} as batch_id, string_agg(ids, '|' order by pos) as rows
 from (select *, row_number() over (partition by split order by doc_id, part_idx) - 1 as pos from fed)
 group by 1, 2""", *ENCODED, HASHED, SPLIT, _FED)
+ORACLES["stream_batches"] = ORACLES["feed_batches"]
 _add("feed_rank_batches", f"""select split, (slot % {WORLD_SIZE})::integer as rank,
   slot // {WORLD_SIZE} // {FEED.batch_size} as batch_id, string_agg(ids, '|' order by slot // {WORLD_SIZE}) as rows
 from (select *, unnest(range(pos, (ceil(n / {WORLD_SIZE}) * {WORLD_SIZE})::bigint, n)) as slot

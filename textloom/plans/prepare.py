@@ -16,14 +16,20 @@ from textloom.operators.positions import POSITION, count_rows, hash_positions
 from textloom.operators.profile import length_counts, length_histogram
 from textloom.operators.split import split_sizes
 from textloom.sources.tables import SHARD, SPLIT, write_shards
-from textloom.sources.workspace import checkpointed, is_complete, materialize
+from textloom.sources.workspace import checkpointed, is_current, manifest, materialize, record
 
 
 def prepare_source(source: DataFrame, keys: Sequence[str], path: str, config: CorpusConfig,
-                   column: str = "text") -> DataFrame:
-    """Texts of one source in the length range, written to ``path`` or reused from there."""
-    return materialize(source.sparkSession, path, lambda: split_long_texts(
-        source, keys, config.min_chars, config.max_chars, column))
+                   column: str = "text", inputs: Sequence[str] | None = None) -> DataFrame:
+    """Texts of one source in the length range, written to ``path`` or reused from there.
+
+    They are reused if the source's files (``inputs``, or those Spark names), its columns and the length range are the same.
+    """
+    spark = source.sparkSession
+    made_of = manifest(spark, sorted(source.inputFiles()) if inputs is None else inputs, keys=list(keys), column=column,
+                       schema=source.schema.simpleString(), range=[config.min_chars, config.max_chars])
+    return materialize(spark, path, lambda: split_long_texts(
+        source, keys, config.min_chars, config.max_chars, column), made_of)
 
 
 def profile(df: DataFrame, config: CorpusConfig, column: str = "text") -> DataFrame:
@@ -48,8 +54,8 @@ def profile_stages(sources: Mapping[str, DataFrame], config: CorpusConfig,
     return length_histogram(counts.unionByName(combined), config.histogram_bins, ["stage"])
 
 
-def split_and_shard(corpus: DataFrame, keys: Sequence[str], root: str, config: CorpusConfig) -> None:
-    """Seeded train / test split, written as balanced shards below ``root``.
+def labelled_shards(corpus: DataFrame, keys: Sequence[str], config: CorpusConfig) -> DataFrame:
+    """Seeded train / test split in balanced shards: the columns ``split`` and ``shard_id``.
 
     Rows are split, and sharded within their split, by position in seeded random
     order; they are shuffled once. Give a written table: its keys are read first,
@@ -64,16 +70,26 @@ def split_and_shard(corpus: DataFrame, keys: Sequence[str], root: str, config: C
     train_shards = shard_count(n_train, config.shard_rows)
     shard = (F.when(is_test, shard_of(F.col(POSITION), n_test, test_shards))
              .otherwise(shard_of(F.col(POSITION) - n_test, n_train, train_shards)))
-    labelled = (
+    return (
         placed.filter(F.col(POSITION) < n_test + n_train)
         .withColumn(SPLIT, F.when(is_test, "test").otherwise("train"))
         .withColumn(SHARD, shard).drop(POSITION))
-    write_shards(labelled, root)
+
+
+def split_and_shard(corpus: DataFrame, keys: Sequence[str], root: str, config: CorpusConfig) -> None:
+    """The split in shards, written below ``root``; see :func:`labelled_shards`."""
+    write_shards(labelled_shards(corpus, keys, config), root)
 
 
 def combine_sources(spark: SparkSession, sources: Mapping[str, DataFrame], keys: Sequence[str],
-                    root: str, config: CorpusConfig) -> None:
-    """Combine prepared sources, split them and write the shards, unless that is done."""
-    if not is_complete(spark, root):
+                    root: str, config: CorpusConfig, upstream: Sequence[str] = ()) -> None:
+    """Combine prepared sources, split them and write the shards, unless that is done.
+
+    ``upstream`` are the folders of the prepared sources: the shards are made anew when one of them, or a setting, is another.
+    """
+    made_of = manifest(spark, upstream=upstream, sources=list(sources), keys=list(keys), seed=config.seed,
+                       ratios=[config.train_ratio, config.test_ratio], shard_rows=config.shard_rows)
+    if not is_current(spark, root, made_of):
         combined = combine_corpora(sources)
         split_and_shard(combined, ["corpus", *keys, PART], root, config)
+        record(spark, root, made_of)

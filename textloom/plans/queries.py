@@ -17,13 +17,14 @@ from textloom.config import (
 from textloom.functions import sequences as seq
 from textloom.functions.formatting import fixed
 from textloom.functions.text import characters, with_markers
-from textloom.operators import arrange, chunk, combine, encode, positions, profile, split, trace
+from textloom.operators import arrange, chunk, combine, encode, permutation, positions, profile, split, trace
 from textloom.operators import user_batches
 from textloom.operators import word_stats as ws
 from textloom.operators.model import BpeModel
 from textloom.plans import feed, prepare, tokenizer
-from textloom.sources import tables, workspace
+from textloom.sources import shard_sink, tables, workspace
 from textloom.streaming import arrivals
+from textloom.streaming import batches as stream_batching
 
 CORPUS = CorpusConfig()
 FEED = FeedConfig()
@@ -173,6 +174,17 @@ def write_splits(spark, sf_dir):
     return tables.read_splits(spark, root).select("split", *KEYS, "text")
 
 
+@query
+def named_shards(spark, sf_dir):
+    """Shards under the names ``{split}/{split}_shard_{i}.parquet``, read back with what their file names say."""
+    root = _place(spark, sf_dir, "named-shards")
+    labelled = prepare.labelled_shards(chunk_table(spark, sf_dir), KEYS, CorpusConfig(shard_rows=SHARD_ROWS))
+    shard_sink.write_named_shards(labelled, root, order=KEYS)
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    return (tables.read_plain_splits(spark, root, ["train", "test"])
+            .select("split", name.alias("file"), *KEYS, "text"))
+
+
 @query
 def shard_assign(spark, sf_dir):
     rows = chunk_table(spark, sf_dir)
@@ -367,6 +379,24 @@ def epoch_order(spark, sf_dir):
     return positions.hash_positions(chunk_table(spark, sf_dir).select(*KEYS), KEYS, CORPUS.seed, EPOCH)
 
 
+@query
+def epoch_bijection(spark, sf_dir):
+    """An epoch's order, rank shares and batches by arithmetic on stored positions; nothing is shuffled."""
+    stored, n_rows = _positions(spark, sf_dir)
+    placed = permutation.epoch_positions(stored, n_rows, CORPUS.seed, EPOCH)
+    place = F.col(permutation.EPOCH_POSITION)
+    return placed.select(*KEYS, "pos", place, F.pmod(place, F.lit(WORLD_SIZE)).cast("int").alias("rank"),
+                         F.floor(place / F.lit(WORLD_SIZE) / F.lit(FEED.batch_size)).alias("batch_id"))
+
+
+def _positions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """The keys of the chunks with their positions, in that order, written once; and their number."""
+    path = _place(spark, sf_dir, "positions")
+    rows = chunk_table(spark, sf_dir).select(*KEYS)
+    stored = workspace.materialize(spark, path, lambda: positions.key_positions(rows, KEYS))
+    return stored, positions.count_rows(stored)
+
+
 @query
 def rank_shards(spark, sf_dir):
     rows = chunk_table(spark, sf_dir).select(*KEYS)
@@ -708,6 +738,28 @@ def stream_word_counts(spark, sf_dir):
     return arrivals.latest_counts(spark, f"{path}/counts")
 
 
+def _arriving_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokenized rows of both splits as files that arrive one after the other, in key order."""
+    root = workspace.scratch_path(spark, "arriving-tokens")
+    rows = tables.read_splits(spark, tokenized_root(spark, sf_dir)).select("split", *KEYS, "input_ids")
+    pieces = workspace.written(rows.repartitionByRange(ARRIVING_FILES, *KEYS).withColumn("piece", F.spark_partition_id()), "pieces")
+    for k in range(ARRIVING_FILES):
+        pieces.where(F.col("piece") == k).drop("piece").coalesce(1).write.mode("append").parquet(root)
+    return arrivals.arriving_shards(spark, root, rows.schema, files_per_trigger=1)
+
+
+@query
+def stream_batches(spark, sf_dir):
+    """Full batches over arriving files, and the last, short ones from the state; as in ``feed_batches``."""
+    path = workspace.scratch_path(spark, "stream-batches")
+    checkpoint = f"{path}/checkpoint"
+    arrivals.run_to_end(stream_batching.batches_to(
+        _arriving_tokens(spark, sf_dir), f"{path}/rows", checkpoint, ["split"], KEYS, FEED.batch_size), MIN_TRIGGERS)
+    rows = spark.read.parquet(f"{path}/rows").unionByName(stream_batching.waiting_rows(spark, checkpoint, ["split"]))
+    filled = arrange.batch_matrix(rows, order=stream_batching.PLACE, by=("split",))
+    return filled.withColumn("rows", F.array_join(F.transform("rows", as_text), "|"))
+
+
 # User functions --------------------------------------------------------------------------------------
 
 def _lengths(batch: dict, column: str) -> dict:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.sources.workspace import materialize
+from textloom.sources.workspace import manifest, materialize
 
 SPLIT = "split"
 SHARD = "shard_id"
@@ -61,13 +61,15 @@ def keyed_texts(spark: SparkSession, source: Source, kept_at: str) -> DataFrame:
 
     With key columns, the id is made of them. A Parquet source without key is numbered by
     file and row. Any other source without key is first written to ``kept_at`` as
-    Parquet, once, and numbered from there: its ids hold as long as that copy does.
+    Parquet, once, and numbered from there: its ids hold as long as that copy does. It is
+    copied again when its files change.
     """
     df = read_corpus(spark, source.path, source.fmt)
     if source.keys:
         return df.select(row_key(source.keys).alias("row_id"), F.col(source.column).alias("text"))
     if source.fmt != "parquet":
-        df = materialize(spark, kept_at, lambda: df.select(source.column))
+        df = materialize(spark, kept_at, lambda: df.select(source.column),
+                         manifest(spark, [source.path], fmt=source.fmt, column=source.column))
     place = F.concat_ws(":", F.element_at(F.split("_metadata.file_path", "/"), -1), "_metadata.row_index")
     return df.select(place.alias("row_id"), F.col(source.column).alias("text"))
 

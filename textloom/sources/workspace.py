@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,8 +85,84 @@ def remove(spark: SparkSession, path: str, below: str | None = None) -> None:
     fs.delete(target, True)
 
 
-def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table at ``path``; built and written first if it is not finished."""
-    if not is_complete(spark, path):
+# Results that know what they were made of ------------------------------------------------
+
+MANIFEST = "_manifest.json"         # readers of tables pass over names with an underscore
+
+
+def files_digest(spark: SparkSession, path: str) -> str:
+    """A hash over names, sizes and times of all files at or below ``path``; marks and manifests left out."""
+    fs, target = _filesystem(spark, path)
+    if not fs.exists(target):
+        return "none"
+    found, files = [], fs.listFiles(target, True)
+    while files.hasNext():
+        status = files.next()
+        if not status.getPath().getName().startswith(("_", ".")):
+            found.append(f"{status.getPath()}:{status.getLen()}:{status.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, target = _filesystem(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, target = _filesystem(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
+def manifest(spark: SparkSession, inputs: Sequence[str] = (), upstream: Sequence[str] = (), **parameters) -> dict:
+    """What a result depends on: files of the inputs as they are now, manifests of earlier results, and settings."""
+    earlier = {path: hashlib.sha256((_read_text(spark, f"{path.rstrip('/')}/{MANIFEST}") or files_digest(spark, path)).encode()).hexdigest()
+               for path in upstream}
+    made_of = {"inputs": {path: files_digest(spark, path) for path in inputs}, "upstream": earlier, "parameters": parameters}
+    return json.loads(json.dumps(made_of, sort_keys=True, default=str))
+
+
+def is_current(spark: SparkSession, path: str, wanted: dict | None, marker: str = "_SUCCESS") -> bool:
+    """True if the result at ``path`` is finished and was made of what ``wanted`` says; without it, if it is finished.
+
+    ``marker`` is the file that is there once the data are.
+    """
+    fs, done = _filesystem(spark, f"{path.rstrip('/')}/{marker}")
+    if not fs.exists(done):
+        return False
+    if wanted is None:
+        return True
+    kept = _read_text(spark, f"{path.rstrip('/')}/{MANIFEST}")
+    return kept is not None and json.loads(kept) == wanted
+
+
+def record(spark: SparkSession, path: str, wanted: dict | None) -> None:
+    """Put the manifest of a finished result next to its data: from then on it counts as current."""
+    if wanted is not None:
+        _write_text(spark, f"{path.rstrip('/')}/{MANIFEST}", json.dumps(wanted, sort_keys=True, indent=1))
+
+
+def withdraw(spark: SparkSession, path: str) -> None:
+    """Take a result's manifest away, before parts of it are written anew."""
+    fs, target = _filesystem(spark, f"{path.rstrip('/')}/{MANIFEST}")
+    fs.delete(target, False)
+
+
+def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame], wanted: dict | None = None) -> DataFrame:
+    """The table at ``path``; built and written first if it is not finished, or was made of something else than ``wanted``.
+
+    The manifest is written last: a run that stops before leaves a result that is built again.
+    """
+    if not is_current(spark, path, wanted):
         build().write.mode("overwrite").parquet(path)
+        record(spark, path, wanted)
     return spark.read.parquet(path)

@@ -6,6 +6,7 @@ Chunking and tokenizing keep no state. Word counts keep one number per word.
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,17 @@ def run_to_end(running: StreamingQuery, least_triggers: int = 1) -> None:
         raise RuntimeError(f"the stream took {triggers} triggers, not {least_triggers}")
 
 
+def with_rocksdb(spark: SparkSession, start: Callable[[], StreamingQuery]) -> StreamingQuery:
+    """Start a stream whose state is kept in RocksDB, whatever the session's setting is."""
+    with _starting:
+        before = spark.conf.get(_STATE_STORE)
+        spark.conf.set(_STATE_STORE, _ROCKSDB)
+        try:
+            return start()
+        finally:
+            spark.conf.set(_STATE_STORE, before)
+
+
 def count_words_to(stream: DataFrame, path: str, checkpoint: str, column: str = "text",
                    triggers_per_base: int = TRIGGERS_PER_BASE) -> StreamingQuery:
     """Running word counts; every trigger writes the counts it has changed.
@@ -67,15 +79,10 @@ def count_words_to(stream: DataFrame, path: str, checkpoint: str, column: str =
         if (batch_id + 1) % triggers_per_base == 0:
             _write_base(changed.sparkSession, path, batch_id)
 
-    with _starting:
-        before = spark.conf.get(_STATE_STORE)
-        spark.conf.set(_STATE_STORE, _ROCKSDB)
-        try:
-            return (word_counts(stream, column).writeStream.outputMode("update")
-                    .foreachBatch(write_changed).option("checkpointLocation", checkpoint)
-                    .trigger(availableNow=True).start())
-        finally:
-            spark.conf.set(_STATE_STORE, before)
+    return with_rocksdb(spark, lambda: (
+        word_counts(stream, column).writeStream.outputMode("update")
+        .foreachBatch(write_changed).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()))
 
 
 def _written(spark: SparkSession, path: str) -> tuple[int, list[int]]:
