@@ -46,6 +46,18 @@ def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def row_reader(spark: SparkSession) -> Iterator[None]:
+    """Jobs inside read Parquet row by row: a batch of columns would hold thousands of rows of large binaries."""
+    key = "spark.sql.parquet.enableVectorizedReader"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def discard(table: DataFrame) -> None:
     """Remove the files of a table made by :func:`stored`."""
     for name in {file.rsplit("/", 2)[-2] for file in table.inputFiles()}:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.distinct_words import coded_words, gather
-from textloom.llm.tables import for_this_task, small_batches, stored, text_slices
+from textloom.llm.tables import for_this_task, row_reader, small_batches, stored, text_slices
 from textloom.llm.word_encoder import WordEncoder, vocabulary_bytes
 
 SPACE = "▁"
@@ -314,7 +314,7 @@ class Block:
             np.concatenate([w + np.int32(first) for w, first in zip(words, first_word)]),
             np.concatenate(times), np.concatenate(n_pairs),
             np.concatenate([place[p + np.int32(first)] for p, first in zip(of_pair, first_id)]),
-            np.concatenate(uses).astype("<i8"), all_ids.astype("<u8"),
+            _narrow(np.concatenate(uses)), all_ids.astype("<u8"),
             np.bincount(place, weights=np.concatenate(docs), minlength=len(all_ids)).astype("<i8"))
         own = pa.concat_arrays([d.cast(pa.int64()) for d in doc_ids])
         lists = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own)
@@ -323,6 +323,11 @@ class Block:
              *(pa.array([b if isinstance(b, bytes) else b.tobytes()], pa.binary()) for b in binaries)], schema=_BLOCK_SCHEMA)
 
 
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    """As 32-bit integers if they all are; their length in bytes tells."""
+    return numbers.astype("<i4" if numbers.max(initial=0) < 1 << 31 else "<i8")
+
+
 def aligned_blocks(docs: DataFrame, tokenizer_path: str, model_path: str, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs (doc_id, text)`` in blocks, one row each; only the task that reads a text ever sees it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,7 +387,9 @@ def _with_counts(key, blocks: pa.Table, counts: pa.Table) -> pa.Table:
         place = counts.column("place").to_numpy()
         n[place] = counts.column("n").to_numpy()
         best[place] = counts.column("best").to_numpy().astype(np.int64)
-    pairs, uses, n_pairs = read("pairs", "<i4"), read("uses", "<i8"), read("n_pairs", "<i4")
+    pairs, n_pairs = read("pairs", "<i4"), read("n_pairs", "<i4")
+    wide = row["uses"].as_buffer().size > 4 * len(pairs)
+    uses = read("uses", "<i8" if wide else "<i4").astype(np.int64)
     of_word = np.repeat(np.arange(len(n_pairs)), n_pairs)
     word_best, word_sum = np.zeros(len(n_pairs), np.int64), np.zeros(len(n_pairs), np.int64)
     np.add.at(word_best, of_word, uses * best[pairs])
@@ -410,10 +417,12 @@ def align_documents(docs: DataFrame, tokenizer_path: str, model_path: str, block
     spark = docs.sparkSession
     with small_batches(spark, 2000):
         blocks = stored(aligned_blocks(docs, tokenizer_path, model_path, block_words), "aligned", compression="zstd")
-    with small_batches(spark, 1):
+    with small_batches(spark, 1), row_reader(spark):
         pairs = stored(block_pairs(blocks), "block-pairs")
-    counted = pairs.join(stored(pair_counts(pairs), "pair-best"), ["a", "b"]).select("block", "place", "n", "best")
-    return blocks.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(_with_counts, RESULT)
+    best = stored(pair_counts(pairs), "pair-best")
+    counted = pairs.join(best, ["a", "b"]).select("block", "place", "n", "best")
+    with row_reader(spark):
+        return stored(blocks.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(_with_counts, RESULT), "alignments")
 
 
 def aligned_groups(docs: DataFrame, tokenizer_path: str, model_path: str) -> DataFrame:
