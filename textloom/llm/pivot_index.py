@@ -2,7 +2,9 @@
 
 A vector is described by its nearest reference points (pivots), nearest first. Every
 pivot has an inverted list of the vectors that name it. Two vectors are candidates if
-they name at least ``shared`` pivots in common; candidates are verified by their cosine.
+they name at least ``shared`` pivots in common; these are counted first, and only candidates are verified by their cosine.
+Vectors that share so many pivots share one even if each leaves out the last ``shared - 1`` of its own, in
+the order of pivots, so these have no entries in lists.
 No two pivots are near each other: a group of near copies of any size has one or few
 of its own, and its vectors name the same ones. Where there are fewer pivots than
 ``shared``, all of them are asked for.
@@ -71,64 +73,72 @@ def choose_pivots(classes: DataFrame) -> dict[int, np.ndarray]:
     pivots = {}
     for dim, n in sizes.items():
         sample = (classes.where(F.col("dim") == dim).select("node", "embedding")
-                  .orderBy(F.xxhash64("node"), "node").limit(pivot_count(n, dim)).collect())
+                  .orderBy(F.xxhash64("embedding"), "embedding").limit(pivot_count(n, dim)).collect())
         points = np.array([row["embedding"] for row in sample], dtype=np.float64)
         points /= np.abs(points).max(axis=1, keepdims=True)
         pivots[dim] = spread_out(points / np.linalg.norm(points, axis=1, keepdims=True))
     return pivots
 
 
-POSTING = "label int, dim int, pivot int, node long, copies long, nearest array<int>, embedding array<double>"
-
-
-def postings(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int) -> DataFrame:
-    """One row for each vector and named pivot, with the whole description."""
-    schema = pa.schema([("label", pa.int32()), ("dim", pa.int32()), ("pivot", pa.int32()), ("node", pa.int64()),
-                        ("copies", pa.int64()), ("nearest", pa.list_(pa.int32())),
-                        ("embedding", pa.list_(pa.float64()))])
-
+def described(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int) -> DataFrame:
+    """``classes`` with ``nearest``: the pivots that a vector names, in ascending order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("dim").to_numpy(zero_copy_only=False)
             for dim in np.unique(dims):
                 rows = np.flatnonzero(dims == dim)
                 for start in range(0, len(rows), 1000):
-                    yield post(batch.take(pa.array(rows[start:start + 1000])), int(dim))
+                    yield name(batch.take(pa.array(rows[start:start + 1000])), int(dim))
 
-    def post(part: pa.RecordBatch, dim: int) -> pa.RecordBatch:
+    def name(part: pa.RecordBatch, dim: int) -> pa.RecordBatch:
         n = part.num_rows
         points = pivots.get(dim, np.eye(1, dim))
-        vectors = part.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(n, dim)
-        scale = np.abs(vectors).max(axis=1, keepdims=True)
-        unit = vectors / scale / np.linalg.norm(vectors / scale, axis=1, keepdims=True)
+        near = -unit_rows(part.column("embedding"), n) @ points.T
         k = min(nearest, len(points))
-        near = -unit @ points.T
         named = np.argpartition(near, k - 1, axis=1)[:, :k] if k < len(points) else np.tile(np.arange(k), (n, 1))
-        named = np.take_along_axis(named, np.argsort(np.take_along_axis(near, named, 1), axis=1, kind="stable"), 1)
-        named = named.astype(np.int32)
-        each = pa.array(np.repeat(np.arange(n), k))
+        named = np.sort(named, axis=1).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), pa.array(named.ravel()))
-        columns = {"pivot": pa.array(named.ravel()), "nearest": lists.take(each)}
-        return pa.RecordBatch.from_arrays(
-            [columns[f.name] if f.name in columns else part.column(f.name).take(each).cast(f.type) for f in schema],
-            schema=schema)
+        return pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "nearest"])
+
+    kinds = ", ".join(f"{name} {kind}" for name, kind in classes.dtypes)
+    return classes.mapInArrow(run, f"{kinds}, nearest array<int>")
 
-    wide = classes.withColumn("embedding", F.col("embedding").cast("array<double>"))
-    return wide.select("label", "dim", "node", "copies", "embedding").mapInArrow(run, POSTING)
 
+def unit_rows(vectors: pa.Array, n: int) -> np.ndarray:
+    """Vectors of one length as rows of length 1, in double precision."""
+    rows = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
-def cells(posted: DataFrame, block_rows: int) -> DataFrame:
-    """Postings dealt to pairs of blocks ``(a, b)`` of their list; short lists are one block."""
+
+def cells(named: DataFrame, block_rows: int, shared: int) -> DataFrame:
+    """List entries dealt to pairs of blocks ``(a, b)`` of their list; short lists are one block.
+
+    Only lists of several blocks are in the table that says how many: entries meet it without their vectors' shuffle
+    where Spark finds it small.
+    """
     keys = ["label", "dim", "pivot"]
-    lists = stored(posted.groupBy(*keys).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    least = F.least(F.lit(shared), F.size("nearest"))
+    entries = named.withColumn("pivot", F.explode(F.slice("nearest", F.lit(1), F.size("nearest") - least + 1)))
+    large = stored(entries.groupBy(*keys).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")).where("blocks > 1")
                    .select(*[F.col(k).alias(f"list_{k}") for k in keys], "blocks"), "lists")
-    same = [posted[k] == lists[f"list_{k}"] for k in keys]
-    blocked = posted.join(lists, same).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    same = [F.col(k) == F.col(f"list_{k}") for k in keys]
+    blocked = (entries.join(large, same, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+               .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
     return (blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("a", F.least("own", "other")).withColumn("b", F.greatest("own", "other"))
             .select(*keys, "a", "b", "own", "node", "copies", "nearest", "embedding"))
 
 
+def shared_pivots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many pivots each row of ``left`` has in common with each of ``right``."""
+    known, place = np.unique(np.concatenate([left, right]), return_inverse=True)
+    place = place.reshape(-1, left.shape[1])
+    names = np.zeros((len(place), len(known)), dtype=np.float32)
+    np.put_along_axis(names, place, 1, axis=1)
+    return names[:len(left)] @ names[len(left):].T
+
+
 def verified(dealt: DataFrame, threshold: float, shared: int) -> DataFrame:
     """``(node, links, root)``: links of a node found in a cell, and a node it is tied to there."""
     keys = ["label", "dim", "pivot", "a", "b"]
@@ -148,24 +158,28 @@ def verified(dealt: DataFrame, threshold: float, shared: int) -> DataFrame:
         own = group.column("own").to_numpy()
         node = group.column("node").to_numpy()
         copies = group.column("copies").to_numpy()
-        vectors = group.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
         nearest = group.column("nearest").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-        least = min(shared, nearest.shape[1])
-        scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-        unit = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
         left, right = np.flatnonzero(own == a), np.flatnonzero(own == b)
-        i, j = np.nonzero(unit[left] @ unit[right].T >= threshold - 1e-9)
-        i, j = left[i], right[j]
+        if not (len(left) and len(right)):
+            return None
+        candidates = shared_pivots(nearest[left], nearest[right]) >= min(shared, nearest.shape[1])
         if a == b:
-            i, j = i[i < j], j[i < j]
-        keep = []
+            candidates = np.triu(candidates, 1)
+        i, j = np.nonzero(candidates)
+        if not len(i):
+            return None
+        unit = unit_rows(group.column("embedding").combine_chunks(), n)
+        if len(i) * 8 > candidates.size:        # most pairs are candidates: all cosines at once, then only theirs
+            close = (unit[left] @ unit[right].T)[i, j] >= threshold - 1e-9
+            i, j = i[close], j[close]
+        i, j = left[i], right[j]
+        keep = [np.zeros(0, dtype=bool)]
         for at in range(0, len(i), 100_000):
             x, y = i[at:at + 100_000], j[at:at + 100_000]
             common = (nearest[x][:, :, None] == nearest[y][:, None, :]).any(axis=2)
             first = np.where(common, nearest[x], np.iinfo(np.int32).max).min(axis=1)
-            cosine = np.einsum("ij,ij->i", unit[x], unit[y])
-            keep.append((common.sum(axis=1) >= least) & (first == pivot) & (cosine >= threshold))
-        kept = np.concatenate(keep) if keep else np.zeros(0, dtype=bool)
+            keep.append((first == pivot) & (np.einsum("ij,ij->i", unit[x], unit[y]) >= threshold))
+        kept = np.concatenate(keep)
         i, j = i[kept], j[kept]
         if not len(i):
             return None
@@ -199,25 +213,31 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, nea
     each other and share their class's links. Vectors that are null, zero, or hold nulls or
     numbers that are not finite, and rows without label, link with nothing; a row
     without id too, and it is kept. Vectors of different length never link. Rows of one id count
-    as that many vectors in n_links and are one in components. Other columns are
+    as that many vectors in n_links, each row with the links of its own label and vector, and are one in components. Other columns are
     ignored; an empty table gives no rows. ``shared`` pivots of ``nearest`` decide
     what is compared: the recall is measured in the tests.
     """
     rows = vectors.select("vec_id", "label", "embedding")
     classes = stored(rows.where(_usable()).groupBy("label", "embedding")
-                     .agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-                     .withColumn("dim", F.size("embedding")), "classes")
-    posted = stored(postings(classes, choose_pivots(classes), nearest), "postings")
-    found = stored(verified(cells(posted, block_rows), threshold, shared), "found")
-    roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+                     .agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+                     .withColumn("dim", F.size("embedding")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    named = stored(described(classes.select("label", "dim", "node", "copies", "embedding"), choose_pivots(classes), nearest), "named")
+    found = stored(verified(cells(named, block_rows, shared), threshold, shared), "found")
+
+    # Which class each row is of; classes with a row of the same id belong together.
+    of_class = classes.select(F.col("label").alias("class_label"), F.col("embedding").alias("class_embedding"), "node")
+    members = stored(rows.where(_usable()).join(of_class, (F.col("label") == F.col("class_label"))
+                                                & (F.col("embedding") == F.col("class_embedding"))).select("vec_id", "node"), "members")
+    several = members.groupBy("vec_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("vec_id", "a")
+    same_id = members.join(several, "vec_id").select("a", F.col("node").alias("b"))
+    roots = stored(components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(same_id)), "tied")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    result = (classes.join(links, "node", "left").join(roots, "node", "left")
-              .select("label", "embedding", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"),
-                      F.coalesce("root", "node").alias("root")))
-    result = stored(result, "classes-done").toDF("class_label", "class_embedding", "n", "root")
-    with_result = rows.where(_usable()).join(result, (F.col("label") == F.col("class_label"))
-                                    & (F.col("embedding") == F.col("class_embedding")))
-    linked = with_result.select("vec_id", F.col("n").cast("long").alias("n_links"), F.col("root").alias("component_id"))
+    rooted = stored(classes.select("node", "least", "copies").join(links, "node", "left").join(roots, "node", "left")
+                    .select("node", "least", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"),
+                            F.coalesce("root", "node").alias("root")), "rooted")
+    lowest = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "lowest")
+    result = rooted.join(lowest, "root").select("node", "n", "component_id")
+    linked = members.join(result, "node").select("vec_id", F.col("n").cast("long").alias("n_links"), "component_id")
     alone = rows.where(~_usable()).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"),
