@@ -476,6 +476,30 @@ def test_mix_against_plain_version(spark):
 
 # Line rules -----------------------------------------------------------------------------------
 
+@pytest.mark.parametrize("shared", ["null", "one id", "equal rows"])
+def test_mix_hits_its_targets_where_ids_repeat(spark, shared):
+    """Half of all rows have no id, or one id, or are equal: sources still miss their targets by half of one document at most."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(900):
+        own = {"null": None, "one id": 5, "equal rows": 5}[shared] if k % 2 else k + 10
+        words = 20 if shared == "equal rows" and k % 2 else int(rng.integers(1, 60))
+        text = "same " * words if shared == "equal rows" and k % 2 else f"{k} " * words
+        rows.append((own, text, "abc"[k % 3]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    path = workspace.scratch_path(spark, "mix")
+    docs.write.parquet(path)
+    docs = spark.read.parquet(path)
+    got = hm.mixed_sizes(docs).groupBy("target").agg(F.sum("taken").alias("taken"), F.max("size").alias("most")).collect()
+    assert len(got) == 3
+    for r in got:
+        assert abs(r["taken"] - r["target"]) <= r["most"] / 2 + 1
+    mixed = hm.take_mix(docs)
+    assert mixed.columns == docs.columns
+    taken = mixed.select("source", hm.word_count(F.col("text")).alias("n")).groupBy("source").agg(F.sum("n").alias("n"))
+    assert sorted(r["n"] for r in taken.collect()) == sorted(r["taken"] for r in got)
+
+
 def plain_repeated(words):
     windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
     seen = {}

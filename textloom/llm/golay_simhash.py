@@ -182,14 +182,13 @@ def link_fingerprints(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> Da
     return (joined.select("fp", F.coalesce("final", "part").alias("root")).where("root <> fp"))
 
 
-def _grouped(docs: DataFrame, max_distance: int) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, fp)`` of all rows, and ``(fp, root, component_id)`` of the distinct fingerprints."""
-    prints = stored(docs.select("doc_id", fingerprint_column(F.col("text")).alias("fp")), "prints")
+def _groups(prints: DataFrame, max_distance: int) -> DataFrame:
+    """``(fp, root, component_id)`` of the distinct fingerprints of ``prints (doc_id, fp)``, a written table."""
     classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     rooted = classes.join(stored(link_fingerprints(classes, max_distance), "roots"), "fp", "left")
     rooted = stored(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
     lowest = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "lowest")
-    return prints, stored(rooted.join(lowest, "root").select("fp", "root", "component_id"), "groups")
+    return stored(rooted.join(lowest, "root").select("fp", "root", "component_id"), "groups")
 
 
 def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
@@ -201,22 +200,23 @@ def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFr
     nothing. Rows with a null doc_id get the smallest other id of their group, or null.
     Empty table: no rows. Other columns are ignored.
     """
-    prints, groups = _grouped(docs, max_distance)
-    return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
+    prints = stored(docs.select("doc_id", fingerprint_column(F.col("text")).alias("fp")), "prints")
+    return prints.join(_groups(prints, max_distance), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The row with the smallest doc_id of every group, all columns as they were.
 
-    Rows of one id in one group count once; an id that is the smallest of several groups
-    stays in each. Rows with a null doc_id stay only where their group has no other id, one for
-    each such group.
+    Of several rows with that id, the one with the smallest fingerprint stays, then the one with the smallest hash of all its
+    columns; of rows equal in all columns, any one. Rows with a null doc_id stay only where their group has no other
+    id, one for each such group. Rows are written once with their fingerprint and a number, and joined with the
+    numbers that stay: texts are read once and shuffled once at most.
     """
-    prints, groups = _grouped(docs, MAX_DISTANCE)
-    kept = stored(prints.join(groups, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .groupBy("root", F.col("component_id").alias("kept_id")).agg(F.min("fp").alias("kept_fp"))
-                  .select("kept_id", "kept_fp"), "kept")
-    fp = free_name(docs, "fp")
-    rows = docs.withColumn(fp, fingerprint_column(F.col("text")))
-    same = rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows[fp] == kept["kept_fp"])
-    return rows.join(kept, same, "left_semi").dropDuplicates([fp]).drop(fp)     # a fingerprint is of one group
+    fp, number, row = (free_name(docs, name) for name in ("fp", "row_number", "row_hash"))
+    rows = stored(docs.withColumns({fp: fingerprint_column(F.col("text")), number: F.monotonically_increasing_id(),
+                                    row: F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])}), "fingerprinted", compression="zstd")
+    prints = rows.select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("row"), F.col(number).alias("number"))
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "fp", "row", "number")
+    kept = stored(prints.join(_groups(prints, MAX_DISTANCE).select("fp", "root"), "fp").groupBy("root")
+                  .agg(F.min(order)["number"].alias("kept_number")).select("kept_number"), "kept")
+    return rows.join(kept, F.col(number) == F.col("kept_number"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

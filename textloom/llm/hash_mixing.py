@@ -9,6 +9,8 @@ its own source and hash alone.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,12 +74,12 @@ def budgets(targets: DataFrame) -> DataFrame:
         "budget", F.col("target") - F.col("times") * F.col("source_size"))
 
 
-def thresholds(sizes: DataFrame, budgeted: DataFrame) -> DataFrame:
-    """``(source, threshold)``: rows of a source with a smaller hash are taken once more.
+def edges(sizes: DataFrame, budgeted: DataFrame) -> DataFrame:
+    """``(source, budget, edge, rows, under, upto)``: the hash at which a source's budget ends.
 
-    In hash order, rows are in while the middle of a row (of all rows with its hash)
-    is within the budget: the sum taken misses the budget by half of one document at most.
-    ``sizes``: ``(source, h, size)``.
+    ``sizes``: ``(source, h, size)``; ``budgeted``: ``(source, budget)``. ``under`` are the words of all smaller hashes, ``upto``
+    those with the edge's own ``rows``. Sources whose budget is not reached are left out. Buckets are cut finer, and only the one
+    where the budget ends, until it holds one hash.
     """
     open_now = stored(budgeted.select("source", "budget", F.lit(0).cast("double").alias("before"),
                                       F.lit(0).cast("long").alias("prefix")), "open")
@@ -86,64 +88,107 @@ def thresholds(sizes: DataFrame, budgeted: DataFrame) -> DataFrame:
         within = (sizes.alias("s").join(open_now.alias("o"), F.col("s.source").eqNullSafe(F.col("o.source")))
                   .where(F.shiftright("h", left + BUCKET_BITS) == F.col("prefix")))
         by_bucket = (within.groupBy("o.source", "budget", "before", F.shiftright("h", left).alias("bucket"))
-                     .agg(F.sum("size").alias("words"), F.min("h").alias("low"), F.max("h").alias("high")))
+                     .agg(F.sum("size").alias("words"), F.min("h").alias("low"), F.max("h").alias("high"), F.count("*").alias("rows")))
         so_far = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
         summed = by_bucket.withColumn("upto", F.col("before") + F.sum("words").over(so_far))
         over = summed.where("upto > budget")
         edge = stored(over.groupBy("source").agg(F.min_by(
-            F.struct("budget", "bucket", "low", "high", "upto", (F.col("upto") - F.col("words")).alias("under")),
+            F.struct("budget", "bucket", "low", "high", "rows", "upto", (F.col("upto") - F.col("words")).alias("under")),
             "bucket").alias("e")).select("source", "e.*"), "edge")
         single = F.col("low") == F.col("high")
-        fits = F.col("under") + F.col("upto") <= 2 * F.col("budget")
-        done.append(edge.where(single).select("source", (F.col("low") + F.when(fits, 1).otherwise(0))
-                                              .alias("threshold")))
+        done.append(edge.where(single).select("source", "budget", F.col("low").alias("edge"), "rows", "under", "upto"))
         open_now = edge.where(~single).select("source", "budget", F.col("under").alias("before"),
                                               F.col("bucket").alias("prefix"))
         if left == 0 or open_now.isEmpty():
             break
-    found = done[0]
-    for more in done[1:]:
-        found = found.unionByName(more)
-    all_of_it = F.lit(1 << HASH_BITS)       # the budget is not reached
-    return stored(budgeted.alias("b").join(found.alias("f"), F.col("b.source").eqNullSafe(F.col("f.source")), "left")
-                  .select("b.source", "b.source_size", "b.target", "b.times",
-                          F.coalesce("f.threshold", all_of_it).alias("threshold")), "thresholds")
+    return reduce(DataFrame.unionByName, done)
+
+
+#: A row's hashes, each looked at only where the one before does not tell: of the id, of the text, of the place of the row.
+HASHES = ("h", "text_h", "row_h")
+
+
+def thresholds(sizes: DataFrame, budgeted: DataFrame) -> DataFrame:
+    """``budgeted`` with ``cut_<hash>`` and ``edge_<hash>`` for each of a row's hashes; see :func:`beyond_times`.
+
+    In hash order, rows are in while the middle of a row is within the budget: the sum taken misses the budget by half
+    of one document at most. Where several rows have the hash of an edge, they are told apart by the next hash.
+    """
+    plan, left = budgeted, budgeted.select("source", "budget")
+    within = sizes
+    for k, name in enumerate(HASHES):
+        found = stored(edges(within.select("source", F.col(name).alias("h"), "size"), left), "edges")
+        last = k == len(HASHES) - 1
+        lump = F.lit(False) if last else F.col("rows") > 1
+        fits = F.col("under") + F.col("upto") <= 2 * F.col("budget")
+        cuts = found.select(F.col("source").alias("of"), (F.col("edge") + F.when(~lump & fits, 1).otherwise(0)).alias(f"cut_{name}"),
+                            F.when(lump, F.col("edge")).alias(f"edge_{name}"))
+        plan = plan.join(cuts, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
+        left = found.where(lump).select("source", (F.col("budget") - F.col("under")).alias("budget"), "edge")
+        if last or left.isEmpty():
+            break
+        within = stored(within.alias("s").join(left.alias("o"), F.col("s.source").eqNullSafe(F.col("o.source"))
+                                               & (F.col(f"s.{name}") == F.col("o.edge"))).select("s.*"), "lumps")
+        left = left.drop("edge")
+    for name in HASHES:
+        for column in (f"cut_{name}", f"edge_{name}"):
+            if column not in plan.columns:
+                plan = plan.withColumn(column, F.lit(None).cast("long"))
+    # Without a cut, the budget is not reached: all of the source is in.
+    return stored(plan.withColumn("cut_h", F.coalesce("cut_h", F.lit(1 << HASH_BITS))), "thresholds")
+
+
+def hashes(docs: DataFrame) -> dict[str, Column]:
+    """The columns :data:`HASHES` of rows of ``docs (doc_id, text)``. Equal rows differ by their place in the table only."""
+    text = F.shiftrightunsigned(F.xxhash64("text"), 64 - HASH_BITS)
+    row = F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 64 - HASH_BITS)
+    return {"h": id_hash(docs["doc_id"]), "text_h": text, "row_h": row}
 
 
 def plan_mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sizes of all rows, and target, times and threshold of each source."""
-    sizes = stored(docs.select("doc_id", "source", id_hash(F.col("doc_id")).alias("h"),
+    """Sizes of all rows, and target, times and cuts of each source."""
+    sizes = stored(docs.select("doc_id", "source", *[column.alias(name) for name, column in hashes(docs).items()],
                                word_count(F.col("text")).alias("size")), "sizes")
     return sizes, thresholds(sizes, budgets(source_targets(sizes)))
 
 
+def beyond_times(row: str, plan: str) -> Column:
+    """1 if a row is taken once more than its source is taken whole, else 0."""
+    inside = F.lit(False)
+    for name in reversed(HASHES):
+        h, cut, edge = F.col(f"{row}.{name}"), F.col(f"{plan}.cut_{name}"), F.col(f"{plan}.edge_{name}")
+        inside = F.coalesce(h < cut, F.lit(False)) | (F.coalesce(h == edge, F.lit(False)) & inside)
+    return F.when(inside, 1).otherwise(0)
+
+
 def mixed_sizes(docs: DataFrame) -> DataFrame:
     """``(doc_id, size, source_size, target, taken)`` for each row of ``docs (doc_id, text, source)``.
 
-    A document is taken 0, 1 or 2 times, whole. Rows of one id share a hash and are
-    taken alike, and so are rows with a null id. Empty and null texts have size 0 and
+    A document is taken 0, 1 or 2 times, whole. Rows of one id, or with a null id, are taken alike, but for those of
+    the one id at which a source's budget ends: these go by their text, and equal ones by their place in the
+    table, so that every source misses its target by half of one document at most. Empty and null texts have size 0 and
     are never taken. The null source is a source like any other. Empty table: no rows.
     """
     sizes, plan = plan_mix(docs)
     rows = sizes.alias("s").join(plan.alias("p"), F.col("s.source").eqNullSafe(F.col("p.source")))
     return rows.select("s.doc_id", "s.size", "p.source_size", "p.target",
-                       (F.col("s.size") * _times()).cast("long").alias("taken"))
-
-
-def _times(h: Column | None = None) -> Column:
-    h = F.col("s.h") if h is None else h
-    return F.col("p.times") + F.when(h < F.col("p.threshold"), 1).otherwise(0)
+                       (F.col("s.size") * (F.col("p.times") + beyond_times("s", "p"))).cast("long").alias("taken"))
 
 
 def take_mix(docs: DataFrame) -> DataFrame:
     """The rows of the mix: ``docs`` repeated as often as each is taken; columns as they were.
 
     A document without words adds nothing to the mix; it is kept once if its hash or
-    source would take it.
+    source would take it. Rows equal in id and text are told apart by their place, which is the same in both
+    readings of a written table.
     """
     _, plan = plan_mix(docs)
     once = free_name(docs, "copy")
-    rows = docs.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
-    times = F.when(word_count(F.col("d.text")) > 0, _times(id_hash(F.col("d.doc_id")))).otherwise(
-        F.least(F.lit(1), _times(id_hash(F.col("d.doc_id")))))
-    return (rows.select("d.*", F.explode(F.array_repeat(F.lit(1), times)).alias(once)).drop(once))
+    own = {name: free_name(docs, f"own_{name}") for name in HASHES}
+    marked = docs.withColumns({own[name]: column for name, column in hashes(docs).items()})
+    rows = marked.select(F.struct(*[F.col(own[name]).alias(name) for name in HASHES]).alias("s"),
+                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
+    joined = rows.join(plan.select(F.struct("*").alias("p")), F.col("d.source").eqNullSafe(F.col("p.source")))
+    times = F.col("p.times") + beyond_times("s", "p")
+    times = F.when(F.coalesce(F.col("d.text"), F.lit("")).rlike(WORD), times).otherwise(F.least(F.lit(1), times))
+    return joined.select("d.*", F.explode(F.array_repeat(F.lit(1), times)).alias(once)).drop(once)
