@@ -604,9 +604,11 @@ def valid_lengths(spark, sf_dir):
 
 @query
 def batch_matrix(spark, sf_dir):
-    placed = arrange.assign_batches(positions.key_positions(coded_chunks(spark, sf_dir), KEYS), FEED.batch_size)
-    return arrange.batch_matrix(placed).select(
-        "batch_id", F.array_join(F.transform("rows", as_text), "|").alias("rows"))
+    """The short texts are placed and gathered, and become long id arrays in their batch."""
+    texts = chunk_table(spark, sf_dir).select(*KEYS, "text")
+    placed = arrange.assign_batches(positions.key_positions(texts, KEYS), FEED.batch_size)
+    ids = F.transform("rows", lambda text: as_text(code_ids(text)))
+    return arrange.batch_matrix(placed, "text").select("batch_id", F.array_join(ids, "|").alias("rows"))
 
 
 @query
@@ -642,7 +644,9 @@ def feed_rank_batches(spark, sf_dir):
 @query
 def finish_sequences(spark, sf_dir):
     """The first characters as prompt, the rest as generated; a full stop ends it."""
-    ids = F.transform(characters(F.col("text")), lambda c: F.when(c == ".", EOS_ID).otherwise(F.ascii(c)))
+    # What lies behind the length of a sequence cannot be in it.
+    start = F.substring("text", 1, CORPUS.max_length)
+    ids = F.transform(characters(start), lambda c: F.when(c == ".", EOS_ID).otherwise(F.ascii(c)))
     split_ids = documents(spark, sf_dir).select("doc_id", ids.alias("ids")).select(
         "doc_id", F.slice("ids", 1, PROMPT_CHARS).alias("prompt"),
         F.slice("ids", F.lit(PROMPT_CHARS + 1), F.size("ids")).alias("generated"))

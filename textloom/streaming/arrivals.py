@@ -106,13 +106,13 @@ def _write_base(spark: SparkSession, path: str, upto: int) -> None:
 def latest_counts(spark: SparkSession, path: str) -> DataFrame:
     """The newest count of each word, from the newest base and the changes since."""
     base, changes = _written(spark, path)
-    read = spark.read.schema("word string, cnt bigint")
-    parts = [read.parquet(f"{path}/changes/batch_id={k}").withColumn("batch_id", F.lit(k)) for k in changes]
+    parts = []
+    if changes:             # one table of all triggers since the base, one listing
+        parts.append(spark.read.schema("word string, cnt bigint, batch_id int").option("basePath", f"{path}/changes")
+                     .parquet(*[f"{path}/changes/batch_id={k}" for k in changes]))
     if base >= 0:
-        parts.append(read.parquet(f"{path}/base/upto={base}").withColumn("batch_id", F.lit(base)))
+        parts.append(spark.read.schema("word string, cnt bigint").parquet(f"{path}/base/upto={base}").withColumn("batch_id", F.lit(base)))
     if not parts:
         return spark.createDataFrame([], "word string, cnt bigint")
-    together = parts[0]
-    for part in parts[1:]:
-        together = together.unionByName(part)
+    together = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return together.groupBy("word").agg(F.max_by("cnt", "batch_id").alias("cnt"))
