@@ -2,18 +2,20 @@
 
 import os
 import random
+import shutil
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from textloom.config import CorpusConfig, FeedConfig, VocabularyConfig
-from textloom.operators import permutation, positions
+from textloom.operators import permutation, trace
+from textloom.operators.length_ledger import LengthLedger
 from textloom.operators.permutation import Permutation
 from textloom.operators.split import train_test_split
-from textloom.plans import jobs
+from textloom.plans import jobs, prepare
 from textloom.sources import shard_sink, tables, workspace
-from textloom.streaming import arrivals, batches
+from textloom.streaming import arrivals, batches, best
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -233,3 +235,63 @@ def test_batches_are_full_across_files_and_restarts(spark, tmp_path):
         assert [x for _, _, x in own + rest] == ids and len(own) % 7 == 0 and len(rest) == len(ids) % 7
         assert [(b, p) for b, p, _ in own + rest] == [divmod(k, 7) for k in range(len(ids))]
     assert all(r["ids"] == [r["id"], r["id"] + 1] and r["maybe"] == (r["id"] % 5 or None) for r in rows + waiting)
+
+
+# Best epochs over a stream ----------------------------------------------------------------
+
+def test_best_epochs_of_shuffled_arrivals_and_after_a_restart(spark, tmp_path):
+    arriving, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+    rng = random.Random(11)
+    rows = []
+    for run in ("a", "b"):
+        for epoch in range(12):
+            losses = [rng.uniform(1, 3) + 6 / (epoch + 1) for _ in range(5)]
+            if (run, epoch) == ("b", 1):
+                losses[2] = float("inf")
+            rows += [(run, epoch, split, x, 5) for x in losses for split in ("valid", "train")]
+    rng.shuffle(rows)
+    schema = "run string, epoch int, split string, loss double, epoch_rows long"
+
+    def run_on(part):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(arriving)
+        stream = arrivals.arriving_shards(spark, arriving, schema, 1)
+        arrivals.run_to_end(best.best_epochs_to(stream, out, checkpoint, ["run"]), 0)
+        return sorted(tuple(r) for r in spark.read.parquet(out).collect())
+
+    seen = [run_on(rows[:70]), run_on(rows[70:71]), run_on(rows[71:])]
+    trace_rows = spark.createDataFrame(rows, schema)
+    wanted = sorted(tuple(r) for r in trace.best_epochs(trace.epoch_loss(trace_rows, ["run"]), ["run"]).collect())
+    assert [r[:2] for r in seen[-1]] == [r[:2] for r in wanted]
+    assert all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(seen[-1], wanted))
+    assert set(seen[0]) <= set(seen[1]) <= set(seen[2]) and len(seen[2]) > 4
+
+
+# Profiles kept up -----------------------------------------------------------------------
+
+def test_a_ledger_reads_new_files_only(spark, tmp_path):
+    root, config = str(tmp_path / "texts of all"), CorpusConfig()
+    texts = [r["text"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("text").limit(90).collect()] + [None, ""]
+
+    def add(part, name):
+        spark.createDataFrame([(t,) for t in part], "body string").coalesce(1).write.mode("append").parquet(f"{root}/{name}")
+
+    def histogram(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    def plain(part):
+        return histogram(prepare.profile_stages({"d": spark.createDataFrame([(t,) for t in part], "text string")}, config))
+
+    ledger = LengthLedger(spark, str(tmp_path / "ledger"), config)
+    sources = {"d": [root]}
+    assert ledger.update("d", [root], "body") == 0 and histogram(ledger.profile(sources)) == []
+    add(texts[:30], "one")
+    assert [ledger.update("d", [root], "body") for _ in range(2)] == [1, 0]
+    assert histogram(ledger.profile(sources)) == plain(texts[:30])
+    add(texts[30:60], "two")
+    add(texts[60:], "three")
+    assert LengthLedger(spark, str(tmp_path / "ledger"), config).update("d", [root], "body") == 2
+    assert histogram(ledger.profile(sources)) == plain(texts)
+    shutil.rmtree(f"{root}/two")            # a source without its middle files
+    assert ledger.update("d", [root], "body") == 0
+    assert histogram(ledger.profile(sources)) == plain(texts[:30] + texts[60:])
+    assert "body" not in ledger.profile(sources)._jdf.queryExecution().executedPlan().toString()

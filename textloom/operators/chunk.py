@@ -55,8 +55,8 @@ def split_long_texts(df: DataFrame, keys: Sequence[str], min_chars: int, max_cha
 
 
 def lengths_before_and_after(df: DataFrame, min_chars: int, max_chars: int,
-                             column: str = "text") -> DataFrame:
-    """``(stage, length)`` of every text (``raw``) and of every part it gives (``chunks``).
+                             column: str = "text", keys: Sequence[str] = ()) -> DataFrame:
+    """``(*keys, stage, length)`` of every text (``raw``) and of every part it gives (``chunks``).
 
     Each text is read once for both.
     """
@@ -69,7 +69,7 @@ def lengths_before_and_after(df: DataFrame, min_chars: int, max_chars: int,
         return F.transform(lengths, lambda n: F.struct(F.lit(name).alias("stage"), n.alias("length")))
 
     both = F.concat(staged("raw", F.array(F.length(text))), staged("chunks", part_lengths))
-    return df.filter(text.isNotNull()).select(F.inline(both))
+    return df.filter(text.isNotNull()).select(*keys, F.inline(both))
 
 
 def part_outcomes(df: DataFrame, min_chars: int, max_chars: int,

@@ -270,6 +270,7 @@ _add("stage_profile", "select stage, bin_idx, lo, hi, cnt, pct from histogram",
   select corpus || ' raw' as stage, length(text)::bigint as length from corpora
   union all select corpus || ' chunks', length(text) from combined
   union all select 'combined', length(text) from combined)""", _histogram("staged", "stage"))
+ORACLES["ledger_profile"] = ORACLES["stage_profile"]
 
 # Ordering, splitting
 _add("train_test_split", "select doc_id, part_idx, split from labelled", CHUNKS, HASHED, SPLIT)
@@ -402,6 +403,7 @@ _add("best_epochs", """select epoch, round(loss, 6) as loss from (
   select *, min(loss) over (order by epoch rows between unbounded preceding and 1 preceding) as before
   from losses where split = 'valid' and not isnan(loss) and loss < 'inf'::double)
 where before is null or loss < before""", TRACE)
+ORACLES["stream_best_epochs"] = ORACLES["best_epochs"]
 _add("epoch_duration", "select epoch, minutes, seconds from durations", TRACE)
 _add("loss_history", """select split, (epoch // 1000)::bigint as page,
   string_agg(printf('%.6f', round(loss, 6)), ' ' order by epoch) as losses from losses group by 1, 2""", TRACE)

@@ -19,12 +19,14 @@ from textloom.functions.formatting import fixed
 from textloom.functions.text import characters, with_markers
 from textloom.operators import arrange, chunk, combine, encode, permutation, positions, profile, split, trace
 from textloom.operators import user_batches
+from textloom.operators.length_ledger import LengthLedger
 from textloom.operators import word_stats as ws
 from textloom.operators.model import BpeModel
 from textloom.plans import feed, prepare, tokenizer
 from textloom.sources import shard_sink, tables, workspace
 from textloom.streaming import arrivals
 from textloom.streaming import batches as stream_batching
+from textloom.streaming import best as stream_best
 
 CORPUS = CorpusConfig()
 FEED = FeedConfig()
@@ -350,6 +352,18 @@ def stage_profile(spark, sf_dir):
     return prepare.profile_stages(corpora(spark, sf_dir), CORPUS)
 
 
+@query
+def ledger_profile(spark, sf_dir):
+    """As ``stage_profile``, from counts that are kept by file: first of one file, then of those that came since."""
+    sources = {name: [f"{sf_dir}/{name}.parquet"] for name in ("documents", "conversations", "benchmark")}
+    ledger = LengthLedger(spark, workspace.scratch_path(spark, "ledger"), CORPUS)
+    read = [ledger.update("documents", sources["documents"])]
+    read += [ledger.update(name, paths) for name, paths in sources.items()]
+    if read != [1, 0, 1, 1]:
+        raise RuntimeError(f"files read: {read}")
+    return ledger.profile(sources)
+
+
 # Ordering, splitting -------------------------------------------------------------------
 
 @query
@@ -764,6 +778,20 @@ def stream_batches(spark, sf_dir):
     return filled.withColumn("rows", F.array_join(F.transform("rows", as_text), "|"))
 
 
+@query
+def stream_best_epochs(spark, sf_dir):
+    """As ``best_epochs``, while the rows of all epochs arrive in any order."""
+    root, path = workspace.scratch_path(spark, "arriving-trace"), workspace.scratch_path(spark, "stream-best")
+    trace_rows = losses(spark, sf_dir).select("epoch", "split", "loss", "batch_idx")
+    counted = trace_rows.groupBy("epoch", "split").agg(F.count("*").alias("epoch_rows"))
+    rows = workspace.written(trace_rows.join(counted, ["epoch", "split"]), "trace")
+    for k in range(ARRIVING_FILES):
+        rows.where(F.pmod(F.xxhash64("batch_idx"), F.lit(ARRIVING_FILES)) == k).coalesce(1).write.mode("append").parquet(root)
+    stream = arrivals.arriving_shards(spark, root, rows.schema, files_per_trigger=1).withColumn("run", F.lit("run"))
+    arrivals.run_to_end(stream_best.best_epochs_to(stream, f"{path}/rows", f"{path}/checkpoint", ["run"]), MIN_TRIGGERS)
+    return _rounded(spark.read.parquet(f"{path}/rows").select("epoch", "loss"), "loss")
+
+
 # User functions --------------------------------------------------------------------------------------
 
 def _lengths(batch: dict, column: str) -> dict:

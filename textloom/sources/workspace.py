@@ -103,6 +103,20 @@ def files_digest(spark: SparkSession, path: str) -> str:
     return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
 
 
+def file_states(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
+    """Full name, and size with time, of all files at or below ``paths``; marks left out."""
+    found = []
+    for path in paths:
+        fs, target = _filesystem(spark, path)
+        if fs.exists(target):
+            files = fs.listFiles(target, True)
+            while files.hasNext():
+                status = files.next()
+                if not status.getPath().getName().startswith(("_", ".")):
+                    found.append((str(status.getPath().toString()), f"{status.getLen()}:{status.getModificationTime()}"))
+    return sorted(found)
+
+
 def _read_text(spark: SparkSession, path: str) -> str | None:
     fs, target = _filesystem(spark, path)
     if not fs.exists(target):
