@@ -158,6 +158,16 @@ def test_only_unseen_pairs_are_scanned(spark):
     assert ledger.scan(first.limit(0)) == 0
 
 
+def test_a_text_of_thousands_of_secrets(spark):
+    """Spans that overlap or touch are one mask; the others stand apart."""
+    many = "".join(f"n{k} AKIA{k:016d} z\n" for k in range(3000))
+    both = "token=" + "ab12" * 10 + " x"                # found by two rules
+    docs = frame(spark, [many, both, None, "nothing"])
+    got = {r["doc_id"]: r["text"] for r in bl.redact(docs, bl.Ledger(spark, workspace.scratch_path(spark, "ledger"))).collect()}
+    assert got[0] == "".join(f"n{k} [secret] z\n" for k in range(3000))
+    assert got[1].count("[secret]") == 1 and got[1].endswith(" x") and got[2] is None and got[3] == "nothing"
+
+
 def test_secrets_are_masked(spark):
     texts = [*SECRETS, None, "", "clean text"]
     docs = frame(spark, texts, n_chars=[len(t or "") for t in texts]).withColumn("blob", F.lit("b"))

@@ -178,6 +178,20 @@ def blob_spans(findings: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return findings.groupBy("blob").agg(F.sort_array(F.collect_list(row)).alias("found"))
 
 
+def merged_spans(findings: DataFrame) -> DataFrame:
+    """One row per blob with findings: ``(blob, found array<struct<start, end>>)``, in order; spans that touch or overlap are one.
+
+    Linear in the spans of a text but for their sort.
+    """
+    earlier = Window.partitionBy("blob").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy("blob").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
+    apart = F.coalesce(F.max("end").over(earlier) < F.col("start"), F.lit(True))
+    runs = (findings.select("blob", "start", "end").withColumn("apart", apart.cast("long"))
+            .withColumn("run", F.sum("apart").over(so_far))
+            .groupBy("blob", "run").agg(F.min("start").alias("start"), F.max("end").alias("end")))
+    return runs.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("found"))
+
+
 def spans_text(found: Column, rules: Sequence[Rule]) -> Column:
     """``kind:start:end`` of each span, comma-joined."""
     kinds = F.array(*[F.lit(r.kind) for r in rules])
@@ -217,20 +231,12 @@ def redact(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = RULES, mask:
     length. Texts without findings, nulls included, stay as they are.
     """
     ledger.scan(docs, rules)
-    spans = stored(blob_spans(ledger.findings(rules), rules).select(F.col("blob").alias("found_blob"), "found"),
-                   "spans")
+    spans = stored(merged_spans(ledger.findings(rules)).select(F.col("blob").alias("found_blob"), "found"), "spans")
     blob, found = free_name(docs, "blob"), free_name(docs, "found")
     spans = spans.withColumnRenamed("found", found)
     rows = docs.withColumn(blob, blob_of(F.col("text"))).join(spans, F.col(blob) == F.col("found_blob"), "left")
 
-    merged = F.aggregate(
-        found, F.array().cast("array<struct<start:bigint,end:bigint>>"),
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["start"]),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
-                F.element_at(done, -1)["start"].alias("start"),
-                F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end")))))
-        .otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))))
+    merged = F.col(found)
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(merged, lambda s: s["end"]))
     starts = F.concat(F.transform(merged, lambda s: s["start"]), F.array(F.length("text").cast("long")))
     between = F.zip_with(ends, starts, lambda e, s: F.substring(F.col("text"), (e + 1).cast("int"), (s - e).cast("int")))
