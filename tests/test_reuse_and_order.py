@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.config import CorpusConfig, FeedConfig, VocabularyConfig
-from textloom.operators import permutation, trace
+from textloom.operators import permutation, trace, user_tables
 from textloom.operators.length_ledger import LengthLedger
 from textloom.operators.permutation import Permutation
 from textloom.operators.split import train_test_split
@@ -295,3 +295,24 @@ def test_a_ledger_reads_new_files_only(spark, tmp_path):
     assert ledger.update("d", [root], "body") == 0
     assert histogram(ledger.profile(sources)) == plain(texts[:30] + texts[60:])
     assert "body" not in ledger.profile(sources)._jdf.queryExecution().executedPlan().toString()
+
+
+# Table functions --------------------------------------------------------------------------
+
+def test_table_functions_take_their_columns_from_the_call(spark):
+    user_tables.flat_map(spark, "repeats", lambda value, times=2: [value] * times)
+    rows = spark.createDataFrame([(1, "a"), (2, None), (3, "")], "k int, word string")
+    rows.createOrReplaceTempView("some_words")
+    call = "SELECT k, p.* FROM some_words, LATERAL repeats({}) p ORDER BY k, place"
+    three = spark.sql(call.format("word, named_struct('times', k), 'again string'"))
+    assert three.columns == ["k", "place", "again"]
+    assert [tuple(r) for r in three.collect()] == [(1, 0, "a"), (3, 0, ""), (3, 1, ""), (3, 2, "")]
+    assert [tuple(r) for r in spark.sql(call.format("k, null, 'n int'")).collect()] == [(k, j, k) for k in (1, 2, 3) for j in (0, 1)]
+    for wrong in ("word, null, 'no_type'", "word, 5, 'n int'", "word, null, word"):
+        with pytest.raises(Exception, match="column must be|not a name|must be a struct"):
+            spark.sql(call.format(wrong)).collect()
+    user_tables.batches(spark, "in_batches")
+    grouped = spark.sql("SELECT * FROM in_batches(TABLE(SELECT id % 2 AS g, id FROM range(9)) PARTITION BY g ORDER BY (id DESC), 2)")
+    assert sorted(tuple(r) for r in grouped.collect()) == sorted(
+        (g, x, k // 2, k % 2) for g, ids in ((0, [8, 6, 4, 2, 0]), (1, [7, 5, 3, 1])) for k, x in enumerate(ids))
+    assert spark.sql("SELECT * FROM in_batches(TABLE(SELECT id FROM range(0)) PARTITION BY (id), 2)").collect() == []

@@ -429,3 +429,7 @@ _add("stream_word_counts", ORACLES["word_counts"])
 # User functions
 _add("map_batches", ORACLES["text_length"])
 _add("flat_map_batches", "select doc_id, text from chunks", CHUNKS)
+
+_add("table_function", "select doc_id, part_idx, text from chunks", CHUNKS)
+_add("table_function_groups", f"""select doc_id, lang, pos // {FEED.batch_size} as batch_id, (pos % {FEED.batch_size})::integer as place
+from (select doc_id, lang, row_number() over (partition by lang order by doc_id) - 1 as pos from documents)""")

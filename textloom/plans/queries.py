@@ -18,7 +18,7 @@ from textloom.functions import sequences as seq
 from textloom.functions.formatting import fixed
 from textloom.functions.text import characters, with_markers
 from textloom.operators import arrange, chunk, combine, encode, permutation, positions, profile, split, trace
-from textloom.operators import user_batches
+from textloom.operators import user_batches, user_tables
 from textloom.operators.length_ledger import LengthLedger
 from textloom.operators import word_stats as ws
 from textloom.operators.model import BpeModel
@@ -821,3 +821,30 @@ def flat_map_batches(spark, sf_dir):
     return user_batches.map_batches(
         documents(spark, sf_dir), _fitting_lines, "doc_id bigint, text string", CORPUS.batch_rows,
         {"low": CORPUS.min_chars, "high": CORPUS.max_chars}, remove_columns=["doc_id", "text"])
+
+
+def _lines_between(text: str, low: int, high: int) -> list[str]:
+    if len(text) < low:
+        return []
+    return [text] if len(text) <= high else text.split("\n")
+
+
+@query
+def table_function(spark, sf_dir):
+    """The chunker as a table function in SQL: variable numbers of rows, bound arguments, a column named by the call."""
+    user_tables.flat_map(spark, "candidate_parts", _lines_between)
+    documents(spark, sf_dir).createOrReplaceTempView("texts_to_cut")
+    return spark.sql(f"""
+        SELECT doc_id, p.place AS part_idx, p.part AS text
+        FROM texts_to_cut, LATERAL candidate_parts(text, named_struct('low', {CORPUS.min_chars}, 'high', {CORPUS.max_chars}), 'part string') p
+        WHERE length(p.part) BETWEEN {CORPUS.min_chars} AND {CORPUS.max_chars}""")
+
+
+@query
+def table_function_groups(spark, sf_dir):
+    """Batches within each language, by a table function over groups."""
+    user_tables.batches(spark, "batches_of")
+    table(spark, sf_dir, "documents").select("doc_id", "lang").createOrReplaceTempView("texts_by_language")
+    return spark.sql(f"""
+        SELECT doc_id, lang, batch_id, place
+        FROM batches_of(TABLE(texts_by_language) PARTITION BY lang ORDER BY (doc_id), {FEED.batch_size})""")
