@@ -32,12 +32,16 @@ def in_order(rows):
     return sorted(rows, key=lambda row: [(v is None, str(v)) for v in row])
 
 
+#: Queries that SQL is too slow for: ``test_vocabulary.py`` compares thousands of merges with plain learning.
+WITHOUT_SQL = {"bpe_merges_32k"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) - WITHOUT_SQL == set(ORACLES)
     assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WITHOUT_SQL))
 def test_query_equals_sql(spark, database, name):
     df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)

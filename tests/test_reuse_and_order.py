@@ -14,7 +14,7 @@ from textloom.operators.length_ledger import LengthLedger
 from textloom.operators.permutation import Permutation
 from textloom.operators.split import train_test_split
 from textloom.plans import jobs, prepare
-from textloom.sources import shard_sink, tables, workspace
+from textloom.sources import batch_files, shard_sink, tables, workspace
 from textloom.streaming import arrivals, batches, best
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -316,3 +316,29 @@ def test_table_functions_take_their_columns_from_the_call(spark):
     assert sorted(tuple(r) for r in grouped.collect()) == sorted(
         (g, x, k // 2, k % 2) for g, ids in ((0, [8, 6, 4, 2, 0]), (1, [7, 5, 3, 1])) for k, x in enumerate(ids))
     assert spark.sql("SELECT * FROM in_batches(TABLE(SELECT id FROM range(0)) PARTITION BY (id), 2)").collect() == []
+
+
+# Batch files ------------------------------------------------------------------------------
+
+def test_a_trainer_opens_its_batches_at_any_place(spark, tmp_path):
+    target = str(tmp_path / "files")
+    rows = [(rank, pos, [1000 * rank + pos, pos, 7]) for rank, n in ((0, 100), (1, 95), (3, 5)) for pos in range(n)]
+    df = spark.createDataFrame(rows, "rank int, pos long, input_ids array<int>").repartition(7)
+    assert batch_files.write_batch_files(df, target, 7, file_batches=4, max_length=3) == 4 + 4 + 1
+    assert batch_files.write_batch_files(df, target, 7, file_batches=4, max_length=3) == 9           # a run again leaves the same
+    for rank, n in ((0, 100), (1, 95), (3, 5)):
+        reader = batch_files.BatchReader(target, rank, file_batches=4)
+        wanted = [[[1000 * rank + pos, pos, 7] for pos in range(at, min(at + 7, n))] for at in range(0, n, 7)]
+        assert len(reader) == len(wanted)
+        for k in (len(wanted) - 1, 0, len(wanted) // 2):
+            assert reader.batch(k).column("input_ids").to_pylist() == wanted[k]
+        assert [b.column("input_ids").to_pylist() for b in reader.from_batch(len(wanted) // 2)] == wanted[len(wanted) // 2:]
+        with pytest.raises(IndexError):
+            reader.batch(len(wanted))
+    table = {(r["rank"], r["batch_id"]): r["rows"] for r in batch_files.read_batch_files(spark, target).collect()}
+    assert len(table) == 15 + 14 + 1 and table[(1, 13)] == [[1000 + pos, pos, 7] for pos in range(91, 95)]
+    os.remove(f"{target}/rank=0/{batch_files.file_name(4)}")
+    with pytest.raises(ValueError, match="missing"):
+        batch_files.BatchReader(target, 0, file_batches=4)
+    with pytest.raises(Exception, match="must have 4 ids"):
+        batch_files.write_batch_files(df, str(tmp_path / "wrong"), 7, max_length=4)

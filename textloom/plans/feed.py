@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from textloom.config import CorpusConfig, FeedConfig
 from textloom.operators.arrange import assign_batches, assign_ranks, batch_matrix
 from textloom.operators.positions import POSITION, count_rows, hash_positions, key_positions
+from textloom.sources.batch_files import FILE_BATCHES, write_batch_files
 from textloom.sources.tables import SHARD, SPLIT, read_splits
 from textloom.sources.workspace import is_current, manifest, record
 
@@ -37,6 +38,15 @@ def rank_batches(rows: DataFrame, keys: Sequence[str], seed: int, epoch: int, wo
     return batch_matrix(assign_batches(shares, batch_size), by=("rank",))
 
 
+def write_rank_files(rows: DataFrame, keys: Sequence[str], target: str, seed: int, epoch: int, world_size: int, batch_size: int,
+                     max_length: int, file_batches: int = FILE_BATCHES) -> int:
+    """The batches of :func:`rank_batches` as files that a trainer opens at any batch; returns the number of files."""
+    n_rows = count_rows(rows.select(*keys))
+    placed = hash_positions(rows.select(*keys, INPUT_IDS), keys, seed, epoch, n_rows)
+    shares = assign_ranks(placed, n_rows, world_size).drop(POSITION).withColumnRenamed("rank_pos", POSITION)
+    return write_batch_files(shares, target, batch_size, file_batches, INPUT_IDS, POSITION, max_length)
+
+
 def write_epoch(spark: SparkSession, root: str, target: str, epoch: int, world_size: int, corpus: CorpusConfig,
                 feed: FeedConfig, splits: Sequence[str] = ("train", "test")) -> None:
     """Write the batches of every split and rank for one epoch, one directory for each.

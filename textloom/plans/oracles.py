@@ -386,6 +386,7 @@ _add("feed_rank_batches", f"""select split, (slot % {WORLD_SIZE})::integer as ra
 from (select *, unnest(range(pos, (ceil(n / {WORLD_SIZE}) * {WORLD_SIZE})::bigint, n)) as slot
       from (select *, row_number() over (partition by split order by eh, doc_id, part_idx) - 1 as pos from fed))
 group by 1, 2, 3""", *ENCODED, HASHED, SPLIT, _FED)
+ORACLES["rank_files"] = ORACLES["feed_rank_batches"]
 _add("finish_sequences", f"""select doc_id, {_text(f'''ids[1:{PROMPT_CHARS}] || {_fitted(
     f"(case when stop > 0 then generated[1:stop - 1] else generated end)[1:{LENGTH - PROMPT_CHARS - 1}]"
 )}[1:{LENGTH} - len(ids[1:{PROMPT_CHARS}])]''')} as ids

@@ -23,7 +23,7 @@ from textloom.operators.length_ledger import LengthLedger
 from textloom.operators import word_stats as ws
 from textloom.operators.model import BpeModel
 from textloom.plans import feed, prepare, tokenizer
-from textloom.sources import shard_sink, tables, workspace
+from textloom.sources import batch_files, shard_sink, tables, workspace
 from textloom.streaming import arrivals
 from textloom.streaming import batches as stream_batching
 from textloom.streaming import best as stream_best
@@ -38,6 +38,7 @@ EPOCH = 3
 PROMPT_CHARS = 8
 ARRIVING_FILES = 3
 MIN_TRIGGERS = 2
+FILE_BATCHES = 5
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -483,6 +484,14 @@ def bpe_merges(spark, sf_dir):
     return model(spark, sf_dir).merges_table(spark)
 
 
+@query
+def bpe_merges_32k(spark, sf_dir):
+    """The merges of the full vocabulary, 32,000 tokens or until no pair is left."""
+    config = VocabularyConfig(ranked_pairs=8_192)
+    learned = tokenizer.learn_from_counts(word_table(spark, sf_dir), _place(spark, sf_dir, "tokenizer-32k"), config)
+    return learned.merges_table(spark)
+
+
 @query
 def bpe_vocab(spark, sf_dir):
     return model(spark, sf_dir).vocab_table(spark)
@@ -655,6 +664,17 @@ def feed_rank_batches(spark, sf_dir):
         rows, keys, CORPUS.seed, EPOCH, WORLD_SIZE, FEED.batch_size))
 
 
+@query
+def rank_files(spark, sf_dir):
+    """As ``feed_rank_batches``, through files that a trainer opens at any batch."""
+    def written(rows: DataFrame, keys: list[str]) -> DataFrame:
+        target = workspace.scratch_path(spark, "rank-files")
+        feed.write_rank_files(rows, keys, target, CORPUS.seed, EPOCH, WORLD_SIZE, FEED.batch_size, CORPUS.max_length, FILE_BATCHES)
+        return batch_files.read_batch_files(spark, target)
+
+    return _fed(spark, sf_dir, written)
+
+
 @query
 def finish_sequences(spark, sf_dir):
     """The first characters as prompt, the rest as generated; a full stop ends it."""
