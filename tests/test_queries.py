@@ -2,6 +2,9 @@
 
 import math
 import os
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -55,3 +58,25 @@ def test_query_equals_sql(spark, database, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 20
+
+
+def registered(root, before=""):
+    """Names of the queries of the entry module in ``root``, in a process of its own."""
+    done = subprocess.run([sys.executable, "-B", "-c", f"import sys\n{before}\nimport __spark_entry__ as e\nprint('NAMES', *e.queries())"],
+                          cwd=root, env={**os.environ, "PYTHONPATH": str(root)}, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    return set(done.stdout.rpartition("NAMES")[2].split())
+
+
+def test_core_queries_do_not_need_the_rest(tmp_path):
+    """Without packages of the training-data operators, and with their folder empty or gone, the core queries are there."""
+    root = os.path.dirname(os.path.abspath(entry_points.__file__))
+    blocked = "\n".join(f"sys.modules[{name!r}] = None" for name in ("xxhash", "ahocorasick", "tokenizers", "sentencepiece"))
+    assert set(QUERIES) <= registered(root, blocked)
+    copy = tmp_path / "copy"
+    shutil.copytree(os.path.join(root, "textloom"), copy / "textloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), copy)
+    assert registered(copy) == set(QUERIES)
+    (copy / "textloom" / "llm" / "__pycache__").mkdir(parents=True)
+    (copy / "corpus_pipeline.py").write_text("from textloom.llm import blob_ledger\n")
+    assert registered(copy) == set(QUERIES)
