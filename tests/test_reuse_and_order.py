@@ -13,7 +13,7 @@ from textloom.operators import permutation, trace, user_tables
 from textloom.operators.length_ledger import LengthLedger
 from textloom.operators.permutation import Permutation
 from textloom.operators.split import train_test_split
-from textloom.plans import jobs, prepare
+from textloom.plans import jobs, prepare, queries
 from textloom.sources import batch_files, shard_sink, tables, workspace
 from textloom.streaming import arrivals, batches, best
 
@@ -297,6 +297,14 @@ def test_a_ledger_reads_new_files_only(spark, tmp_path):
     assert "body" not in ledger.profile(sources)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_ledger_query_takes_tables_of_several_files(spark, tmp_path):
+    for name in ("documents", "conversations", "benchmark"):
+        table = spark.read.parquet(f"{SF_DIR}/{name}.parquet")
+        table.repartition(3 if name != "benchmark" else 1).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = sorted(tuple(r) for r in queries.ledger_profile(spark, str(tmp_path)).collect())
+    assert got == sorted(tuple(r) for r in queries.stage_profile(spark, str(tmp_path)).collect()) and got
+
+
 # Table functions --------------------------------------------------------------------------
 
 def test_table_functions_take_their_columns_from_the_call(spark):
