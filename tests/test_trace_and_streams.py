@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.config import CorpusConfig
 from textloom.operators import chunk, encode, trace, word_stats
-from textloom.plans import feed, jobs, prepare, tokenizer
+from textloom.plans import feed, jobs, prepare, queries, tokenizer
 from textloom.plans.queries import char_model
 from textloom.sources import tables, workspace
 from textloom.streaming import arrivals
@@ -112,6 +112,17 @@ def test_streams_equal_batch(spark, shard_dir, tmp_path):
         word_stats.word_counts(chunks(batch)).collect())
 
 
+def test_more_documents_arrive_in_more_files_not_in_larger_ones(spark, tmp_path, monkeypatch):
+    spark.range(600).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 12) AS text").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    size = sum(f.stat().st_size for f in (tmp_path / "documents.parquet").glob("*.parquet"))
+    monkeypatch.setattr(queries, "ARRIVING_BYTES", size // 10)
+    rows = queries.stream_chunk(spark, str(tmp_path))
+    arrived = spark.read.parquet(queries._place(spark, str(tmp_path), "arriving-documents"))
+    a_file = [r["count"] for r in arrived.groupBy(F.input_file_name()).count().collect()]
+    assert sum(a_file) == 600 and max(a_file) <= 60
+    assert sorted(tuple(r) for r in rows.collect()) == sorted(tuple(r) for r in queries.chunks(spark, str(tmp_path)).collect())
+
+
 def test_a_restarted_stream_reads_only_new_files(spark, shard_dir, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "chk"))
     batch = spark.read.parquet(shard_dir)
