@@ -7,6 +7,7 @@ from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.config import CorpusConfig, FeedConfig, VocabularyConfig
 from textloom.operators import permutation, trace, user_tables
@@ -237,6 +238,53 @@ def test_batches_are_full_across_files_and_restarts(spark, tmp_path):
     assert all(r["ids"] == [r["id"], r["id"] + 1] and r["maybe"] == (r["id"] % 5 or None) for r in rows + waiting)
 
 
+class Kept:
+    """A state variable."""
+
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def put(self, value):
+        self.value = value
+
+    update = put
+
+    def clear(self):
+        self.value = None
+
+
+def test_rows_of_a_trigger_are_given_out_in_parts():
+    import pandas as pd
+
+    kind = T.StructType([T.StructField("id", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType()))])
+    filler = batches.BatchFiller(kind, ["split"], ["id"], 7)
+    filler.waiting, filler.next = Kept(), Kept()
+    n = 2 * batches._HELD_ROWS + 100
+    frames = [pd.DataFrame({"split": "s", "id": ids, "ids": [[k] for k in ids]}) for ids in (list(range(n - 1, 9, -1)), list(range(10)))]
+    given = list(filler.handleInputRows(("s",), iter(frames), None))
+    assert len(given) >= 3 and max(map(len, given)) <= batches._HELD_ROWS + 7
+    rows = [tuple(row) for frame in given for row in frame[["id", "batch_id", "place"]].itertuples(index=False)]
+    waiting = [(row[1], filler.next.value[0], row[0]) for row in filler.waiting.value]
+    assert rows + waiting == [(k, *divmod(k, 7)) for k in range(n)] and len(waiting) == n % 7
+
+
+def test_tokenized_rows_arrive_in_files_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(queries, "ARRIVING_ROWS", 30)
+    n_rows = queries.tables.read_splits(spark, queries.tokenized_root(spark, SF_DIR)).count()
+    roots = []
+    shown = arrivals.arriving_shards
+    monkeypatch.setattr(arrivals, "arriving_shards", lambda spark, path, *a, **k: roots.append(path) or shown(spark, path, *a, **k))
+    got = sorted(tuple(r) for r in queries.stream_batches(spark, SF_DIR).select("split", "batch_id", "rows").collect())
+    assert len(spark.read.parquet(roots[0]).inputFiles()) >= -(-n_rows // 30) > 3
+    assert got == sorted(tuple(r) for r in queries.feed_batches(spark, SF_DIR).select("split", "batch_id", "rows").collect())
+
+
 # Best epochs over a stream ----------------------------------------------------------------
 
 def test_best_epochs_of_shuffled_arrivals_and_after_a_restart(spark, tmp_path):

@@ -21,6 +21,8 @@ from textloom.streaming.arrivals import with_rocksdb
 BATCH = "batch_id"
 PLACE = "place"
 _WAITING, _NEXT = "waiting", "next"
+#: Rows that are plain Python values at once; the others of a trigger stay in the arrays they came in.
+_HELD_ROWS = 5_000
 
 
 class BatchFiller(StatefulProcessor):
@@ -38,20 +40,22 @@ class BatchFiller(StatefulProcessor):
 
         names = self.row_schema.fieldNames()
         arrived = pd.concat(list(rows), ignore_index=True)[names].sort_values(self.order, kind="stable")
-        plain = [[_plain(value, field.dataType) for value in arrived[field.name]] for field in self.row_schema.fields]
         held = [tuple(row)[1:] for row in self.waiting.get()] if self.waiting.exists() else []
-        together = [*held, *zip(*plain)]
-        first = self.next.get()[0] if self.next.exists() else 0
-        n_full = len(together) // self.batch_size
-        rest = together[n_full * self.batch_size:]
-        if rest:
-            self.waiting.put([(k, *row) for k, row in enumerate(rest)])
+        number = self.next.get()[0] if self.next.exists() else 0
+        for start in range(0, len(arrived), _HELD_ROWS):
+            part = arrived.iloc[start:start + _HELD_ROWS]
+            held += zip(*[[_plain(value, field.dataType) for value in part[field.name]] for field in self.row_schema.fields])
+            n_full = len(held) // self.batch_size
+            given, held = held[:n_full * self.batch_size], held[n_full * self.batch_size:]
+            places = [(number + k // self.batch_size, k % self.batch_size) for k in range(len(given))]
+            number += n_full
+            yield pd.DataFrame([(*key, *row, *place) for row, place in zip(given, places)],
+                               columns=[*self.key_names, *names, BATCH, PLACE], dtype=object)
+        if held:
+            self.waiting.put([(k, *row) for k, row in enumerate(held)])
         else:
             self.waiting.clear()
-        self.next.update((first + n_full,))
-        places = [(first + k // self.batch_size, k % self.batch_size) for k in range(n_full * self.batch_size)]
-        yield pd.DataFrame([(*key, *row, *place) for row, place in zip(together, places)],
-                           columns=[*self.key_names, *names, BATCH, PLACE], dtype=object)
+        self.next.update((number,))
 
     def close(self) -> None:
         pass
