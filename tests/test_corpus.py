@@ -1,8 +1,12 @@
 """Chunking, profiles, set operations, sources and sinks on small frames."""
 
+import weakref
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.config import CorpusConfig
 from textloom.operators import chunk, combine, profile
@@ -179,3 +183,26 @@ def test_user_batches_are_full_whatever_arrives(spark, size, rows_per_arrow_batc
         for k, v in before.items():
             spark.conf.set(k, v)
     assert sizes == [size] * (25_000 // size) + [25_000 % size]
+
+
+def test_a_batch_is_let_go_before_the_next_one():
+    class Frame:
+        schema = T.StructType([T.StructField("id", T.LongType())])
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    class Column(list):
+        pass
+
+    made, alive = [], []
+
+    def function(batch):
+        alive.append(sum(1 for ref in made if ref() is not None))
+        column = Column(batch["id"])
+        made.append(weakref.ref(column))
+        return {"n": column}
+
+    run = map_batches(Frame(), function, T.StructType([T.StructField("n", T.LongType())]), 2, remove_columns=["id"])
+    given = list(run(iter([pa.RecordBatch.from_pydict({"id": list(range(7))})])))
+    assert [b.num_rows for b in given] == [2, 2, 2, 1] and alive == [0, 0, 0, 0]

@@ -40,7 +40,13 @@ def map_batches(df: DataFrame, function: BatchFunction, schema: T.StructType | s
     kept_names = [field.name for field in kept]
     kwargs = dict(fn_kwargs or {})
 
-    def full_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    def as_columns(held: list[pa.RecordBatch]) -> dict[str, list]:
+        """The rows held, as lists; the Arrow batches are let go."""
+        columns = pa.Table.from_batches(held).to_pydict()
+        held.clear()
+        return columns
+
+    def full_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         held: list[pa.RecordBatch] = []
         missing = batch_size
         for batch in batches:
@@ -49,17 +55,19 @@ def map_batches(df: DataFrame, function: BatchFunction, schema: T.StructType | s
                 batch = batch.slice(part.num_rows)
                 held.append(part)
                 missing -= part.num_rows
+                del part
                 if missing == 0:
-                    yield pa.Table.from_batches(held)
-                    held, missing = [], batch_size
+                    yield as_columns(held)
+                    missing = batch_size
         if held:
-            yield pa.Table.from_batches(held)
+            yield as_columns(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in full_batches(batches):
-            columns = part.to_pydict()
+        for columns in full_batches(batches):
             result = function(columns, **kwargs)
             values = {**{name: columns[name] for name in kept_names}, **result}
-            yield pa.RecordBatch.from_pydict(values, schema=arrow_schema)
+            done = pa.RecordBatch.from_pydict(values, schema=arrow_schema)
+            del columns, result, values         # one batch of rows at a time, not the last one beside the next
+            yield done
 
     return df.mapInArrow(run, out_schema)
