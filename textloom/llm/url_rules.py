@@ -24,8 +24,6 @@ LEAST_CONFIDENCE = 0.95
 #: ... and for this many of them at least; and its confidence is this many times the share of its verdict.
 LEAST_URLS = 10
 LEAST_LIFT = 1.1
-#: A token in more than this share of the URLs says nothing; it is left out of sets.
-COMMON_SHARE = 0.6
 
 
 @dataclass(frozen=True)
@@ -79,7 +77,7 @@ def mine_rules(labelled: DataFrame, least_support: float = LEAST_SUPPORT,
                least_confidence: float = LEAST_CONFIDENCE, least_urls: int = LEAST_URLS) -> DataFrame:
     """``(tokens, verdict, confidence, support)`` from ``labelled (tokens, verdict)``.
 
-    Tokens in more than ``COMMON_SHARE`` of the URLs are left out of the sets: they would be in every rule. A rule must hold
+    Tokens in all of the URLs are left out of the sets: a set holds for the same URLs without them. A rule must hold
     for the share ``least_support`` of the URLs and for ``least_urls`` of them. Every part of a rule holds for as many, so sets
     that do not are left out while they are mined, which gives the same rules as to drop them afterwards. A rule is
     pruned by confidence too, by its lift (it must say more than the
@@ -91,7 +89,7 @@ def mine_rules(labelled: DataFrame, least_support: float = LEAST_SUPPORT,
             [], "tokens array<string>, verdict string, confidence double, support double")
     least_support = max(least_support, (least_urls - 0.5) / n)  # half a URL less: the product with n may round up
     counts = (labelled.select(F.explode("tokens").alias("token")).groupBy("token").count()
-              .where((F.col("count") >= least_support * n) & (F.col("count") <= COMMON_SHARE * n)))
+              .where((F.col("count") >= least_support * n) & (F.col("count") < n)))
     useful = [row["token"] for row in counts.select("token").collect()]     # 1 / least_support a URL token at most
     known = F.array(*[F.lit(t) for t in sorted(useful)]).cast("array<string>")
     baskets = labelled.select(F.concat(F.array_intersect("tokens", known),
