@@ -130,6 +130,16 @@ def test_a_merge_into_an_existing_token_stands_alone():
     assert second.reuses_token and not second.new_tokens
 
 
+def test_a_round_takes_hundreds_of_pairs_that_do_not_touch():
+    tokens = [*SPECIAL_TOKENS, *(chr(0x4E00 + k) for k in range(400))]
+    ids = {t: k for k, t in enumerate(tokens)}
+    first = len(SPECIAL_TOKENS)
+    pairs = [word_stats.symbol(first + 2 * k) + word_stats.symbol(first + 2 * k + 1) for k in range(200)]
+    ranking = PairRanking(1_000)
+    ranking.refill([(pair, 1_000 - k) for k, pair in enumerate(pairs)])
+    assert Round(ranking, tokens, ids, 1_000, 1).pairs == pairs
+
+
 def test_self_pairs(spark):
     corpus = ["aaaa " * 10 + "aaa " * 7 + "aaaaaaa " * 3 + "ba " * 4]
     assert learn(spark, corpus, 20) == one_at_a_time(corpus, 20)

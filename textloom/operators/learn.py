@@ -32,7 +32,8 @@ from textloom.operators.model import BpeModel
 from textloom.operators.pair_index import PairIndex
 from textloom.operators.word_stats import as_symbols, best_pairs, collect_alphabet, symbol, token_id
 
-_MAX_PAIRS_PER_ROUND = 64
+#: The pairs of a round are one list in the file reader's filter, see ``pair_index``; mostly a conflict ends a round before.
+_MAX_PAIRS_PER_ROUND = 512
 
 
 def _rank_key(pair: str, count: int) -> tuple[int, str]:
