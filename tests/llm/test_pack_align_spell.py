@@ -46,6 +46,34 @@ def test_words_give_the_ids_of_whole_texts(tokenizer, names_are_text):
     assert len(encoder.number) * 240 <= 50_000 + 240 * 3000
 
 
+def test_runs_met_again_stay_when_there_are_too_many(monkeypatch):
+    """Rare runs fill what is kept many times over; frequent ones are encoded once all the same."""
+    encoder = WordEncoder(BYTES, kept_bytes=240 * 400)
+    fresh, encoded = encoder._fresh, []
+    monkeypatch.setattr(encoder, "_fresh", lambda runs: encoded.extend(runs) or fresh(runs))
+    frequent = [f"qu{a}{b}zor" for a in "abcde" for b in "fghij"]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for k in range(60):
+        rare = [f"{letters[k % 26]}{letters[k // 26]}{letters[j % 26]}{letters[j // 26]}xyx" for j in range(100)]
+        text = " ".join(["start", *frequent, *rare])
+        ids, sizes = encoder.encode(pa.array([text]))
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids and sizes.tolist() == [len(ids)]
+        assert len(encoder.number) <= 400 + len(frequent) + 102
+    assert len(encoded) > 6000 and all(encoded.count(f" {word}") == 1 for word in frequent)
+
+
+def test_runs_and_words_of_several(monkeypatch):
+    """A word of one run is not cut, others are, into the same runs as the tokenizer's words."""
+    texts = ["one", "a one, two", "x1y2 \n z", "ab12!? \n\n c", "don't 12,5 é日", "", None, "n\nm o\n"]
+    encoder = WordEncoder(BYTES)
+    seen, fresh = [], encoder._fresh
+    monkeypatch.setattr(encoder, "_fresh", lambda runs: seen.extend(runs) or fresh(runs))
+    ids, sizes = encoder.encode(pa.array(texts, pa.string()))
+    whole = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == whole
+    assert {" one", ",", " two", "x", "1", "y", "2", " 12", "ab"} <= {*seen, *encoder.number}
+
+
 # Packing -----------------------------------------------------------------------------
 
 def plain_fillings(lengths, capacity):

@@ -54,20 +54,28 @@ def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     fields[:len(ranks)] = extra
     fields = fields.reshape(-1, 4)
     control = fields[:, 0] | fields[:, 1] << 2 | fields[:, 2] << 4 | fields[:, 3] << 6
-    used = np.arange(4, dtype=np.uint8)[None, :] <= extra[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    sizes = extra + np.uint8(1)
+    first = np.cumsum(sizes, dtype=np.int64) - sizes
+    source = ranks.view(np.uint8).reshape(-1, 4)
+    data = np.zeros(int(sizes.sum(dtype=np.int64)), dtype=np.uint8)
+    data[first] = source[:, 0]
+    for byte in range(1, int(extra.max(initial=0)) + 1):
+        longer = np.flatnonzero(extra >= byte)
+        data[first[longer] + byte] = source[longer, byte]
+    return control.tobytes(), data.tobytes()
 
 
-_FIELDS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :]) & 3
+_FIELDS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :]) & 3).astype(np.uint8)
 
 
 def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` ranks of :func:`encode_ranks`."""
     extra = _FIELDS[np.frombuffer(control, dtype=np.uint8)].ravel()[:n]
     source = np.frombuffer(data, dtype=np.uint8)
-    first = np.cumsum(extra + 1) - (extra + 1)
+    sizes = extra + np.uint8(1)
+    first = np.cumsum(sizes, dtype=np.int64) - sizes
     ranks = source[first].astype(np.uint32) if n else np.zeros(0, dtype=np.uint32)
-    for byte in (1, 2, 3):
+    for byte in range(1, int(extra.max(initial=0)) + 1):
         longer = np.flatnonzero(extra >= byte)
         ranks[longer] |= source[first[longer] + byte].astype(np.uint32) << np.uint32(8 * byte)
     return ranks
@@ -108,7 +116,7 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, block_ids: int = BLOCK_ID
                  pa.array([uses[used].astype("<u4").tobytes()])], schema=schema)
 
         for batch in batches:
-            for piece in text_slices(batch, size=min(8_000_000, 4 * block_ids)):
+            for piece in text_slices(batch, rows=1000, size=min(4_000_000, 4 * block_ids)):
                 part = piece.column("part")[0].as_py()
                 ids, sizes = encoder.encode(piece.column("text"))
                 ends = np.cumsum(sizes)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import operator
 import os
 import re
 
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 from textloom.llm.distinct_words import coded_words, gather
 
 #: Memory for the ids a worker keeps, as estimated for each entry; a longer word is encoded each time.
-KEPT_BYTES = 96_000_000
+KEPT_BYTES = 64_000_000
 ENTRY_BYTES = 240
 LONGEST_KEPT = 100
 # What the tokenizer's pattern takes for white space.
@@ -34,6 +35,7 @@ WHITE_RE2 = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f
 # Letters, digits and signs of which all versions of Unicode say the same; no apostrophe, which may begin a suffix.
 _KINDS = (r"[A-Za-z\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+", "[0-9]+", r"[!-&(-/:-@\[-`{-~]+")
 _RUN = "|".join([*(f" ?{kind}" for kind in _KINDS), "\n"])
+_ID = operator.attrgetter("id")
 _MARK = "\x1f"             # between the runs of a word; texts that hold it are odd
 
 
@@ -86,6 +88,19 @@ class WordEncoder:
         self.values = np.zeros(0, dtype=np.uint32)
         self.starts = np.zeros(0, dtype=np.int64)
         self.sizes = np.zeros(0, dtype=np.int64)
+        self.again = np.zeros(0, dtype=bool)
+
+    def _forget_rare(self) -> None:
+        """Runs met in one call only go; all go if the others are more than half."""
+        met = np.flatnonzero(self.again)
+        if 2 * len(met) > len(self.number):
+            return self._forget()
+        kept = list(itertools.compress(self.number, self.again.tolist()))      # in the order of their numbers
+        self.number = dict(zip(kept, range(len(kept))))
+        self.values = gather(self.values, self.starts, self.sizes, met)
+        self.sizes = self.sizes[met]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.again = np.zeros(len(kept), dtype=bool)
 
     def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and numbers of ids of texts, by the tokenizer."""
@@ -109,7 +124,7 @@ class WordEncoder:
         for at in range(0, len(plain), 20_000):
             found = list(map(merge, plain[at:at + 20_000]))
             counts += map(len, found)
-            parts.append(np.fromiter((t.id for tokens in found for t in tokens), np.uint32, sum(counts[at:])))
+            parts.append(np.fromiter(map(_ID, itertools.chain.from_iterable(found)), np.uint32, sum(counts[at:])))
         values = np.concatenate([np.zeros(0, dtype=np.uint32), *parts])
         sizes = np.zeros(len(runs), dtype=np.int64)
         sizes[single] = counts
@@ -127,16 +142,20 @@ class WordEncoder:
             return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
         marked = pc.binary_join_element_wise(before, words, "")
         if self.merge is not None:
-            plain = pc.and_(pc.match_substring_regex(marked, f"^(?:{_RUN})+$"), pc.invert(pc.match_substring(marked, "\n\n\n")))
-            cut = pc.utf8_rtrim(pc.replace_substring_regex(marked, f"({_RUN})", rf"\1{_MARK}"), _MARK)
-            marked = pc.if_else(plain, cut, marked)
+            single = pc.match_substring_regex(marked, f"^(?:{_RUN})$")
+            several = pc.if_else(single, None, marked)       # one run is as it is; cutting costs more than telling
+            plain = pc.and_(pc.match_substring_regex(several, f"^(?:{_RUN})+$"), pc.invert(pc.match_substring(several, "\n\n\n")))
+            several = pc.if_else(plain, several, None)
+            cut = pc.utf8_rtrim(pc.replace_substring_regex(several, f"({_RUN})", rf"\1{_MARK}"), _MARK)
+            marked = pc.coalesce(cut, marked)
         lists = pc.split_pattern(marked, _MARK)
         coded = lists.flatten().dictionary_encode()
-        runs = coded.dictionary.to_pylist()
+        runs = coded.dictionary.to_numpy(zero_copy_only=False).tolist()      # several times as fast as to_pylist
         if len(self.number) * ENTRY_BYTES > self.kept_bytes:
-            self._forget()
+            self._forget_rare()
         get = self.number.get
         numbers = np.fromiter((get(r, -1) for r in runs), np.int64, len(runs))
+        self.again[numbers[numbers >= 0]] = True
         missing = np.flatnonzero(numbers < 0).tolist()
         missing.sort(key=lambda k: len(runs[k]) > LONGEST_KEPT)      # the long ones last: they are not kept
         new = [runs[k] for k in missing]
@@ -149,6 +168,7 @@ class WordEncoder:
         self.number.update(zip(new[:n_kept], range(first, first + n_kept)))
         self.starts, self.sizes = starts[:first + n_kept], sizes[:first + n_kept]
         self.values = values[:int(self.sizes.sum())]
+        self.again = np.concatenate([self.again, np.zeros(n_kept, dtype=bool)])
 
         of_runs = numbers[coded.indices.to_numpy()]
         offsets = lists.offsets.to_numpy().astype(np.int64)
